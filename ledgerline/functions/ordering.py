@@ -1,65 +1,99 @@
 """Global running sums without a global window.
 
 The rows are cut into value ranges by a quantile sketch. Each range is ordered in its own
-task, and the few range totals (at most ``MAX_BUCKETS``) give each range its offset.
+task, and the range totals (at most ``MAX_BUCKETS`` rows) give each range its offset.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
 MAX_BUCKETS = 10_000
+FIRST_SKETCH = 1_000
 BUCKET = "_bucket"
 
 
-def range_splits(df: DataFrame, key: Column, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
-    """Interior split points that cut ``key`` into ranges of about ``rows_per_bucket`` rows."""
-    key = key.cast("double")
-    n = df.agg(F.count(key)).first()[0]
+def numeric_key(df: DataFrame, column: str) -> Column:
+    """A double that orders like the column (equal or larger for a larger value)."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
+def range_splits(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+    """Interior split points that cut the column into ranges of about ``rows_per_bucket`` rows."""
+    key = numeric_key(df, column)
+
+    def sketch(parts: int):
+        shares = [i / parts for i in range(1, parts)]
+        return df.agg(F.count(key), F.approx_percentile(key, shares, 10 * parts)).first()
+
+    n, points = sketch(FIRST_SKETCH)
+    if not n:
+        return []
     buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / rows_per_bucket)))
-    shares = [i / buckets for i in range(1, buckets)]
-    points = df.agg(F.approx_percentile(key, shares, 10 * MAX_BUCKETS)).first()[0]
-    return sorted(set(points)) if points else []
+    if buckets > FIRST_SKETCH:
+        points = sketch(buckets)[1]
+    else:
+        points = [points[i * FIRST_SKETCH // buckets - 1] for i in range(1, buckets)]
+    return sorted(set(points))
 
 
-def with_range_bucket(df: DataFrame, key: Column, splits: Sequence[float]) -> DataFrame:
-    """Adds the range number of ``key``; equal keys always share a range."""
+def with_range_bucket(df: DataFrame, column: str, splits: Sequence[float]) -> DataFrame:
+    """Adds the range number of the column; equal values always share a range."""
     if not splits:
         return df.withColumn(BUCKET, F.lit(0.0))
     bounds = [-math.inf, *splits, math.inf]
-    marked = df.withColumn("_key", key.cast("double"))
+    marked = df.withColumn("_key", numeric_key(df, column))
     return Bucketizer(splits=bounds, inputCol="_key", outputCol=BUCKET).transform(marked).drop("_key")
 
 
 def running_sums(
     df: DataFrame,
     order: str,
-    sums: dict[str, str],
+    sums: Mapping[str, str],
     splits: Sequence[float],
     descending: bool = False,
+    by: Sequence[str] = (),
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Adds, for each ``output: input``, the sum of ``input`` over all rows up to this one.
 
     ``df`` has one row per value of ``order`` (aggregate first, so that a heavily repeated
-    value is one row).
+    value is one row). ``by`` keeps separate sums per group, of which there must be few;
+    ``totals`` adds whole-group sums.
     """
-    cut = with_range_bucket(df, F.col(order), splits)
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    # At most MAX_BUCKETS rows, hence the plain ordered window and the broadcast.
-    totals = cut.groupBy(BUCKET).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
-    before = Window.orderBy(direction(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        BUCKET, *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums]
+    totals = totals or {}
+    cut = with_range_bucket(df, order, splits)
+    inputs = sorted({*sums.values(), *totals.values()})
+
+    def direction(name: str) -> Column:
+        return F.col(name).desc() if descending else F.col(name).asc()
+
+    # At most MAX_BUCKETS rows per group, hence the window over them and the broadcast.
+    per_range = cut.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"_s_{c}") for c in inputs])
+    group = Window.partitionBy(*by)
+    before = group.orderBy(direction(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        *by,
+        BUCKET,
+        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{o}") for o, c in sums.items()],
+        *[F.sum(f"_s_{c}").over(group).alias(o) for o, c in totals.items()],
     )
-    within = Window.partitionBy(BUCKET).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
-    placed = cut.join(F.broadcast(offsets), BUCKET)
-    return placed.select(
-        *df.columns, *[(F.col(f"_o_{o}") + F.sum(c).over(within)).alias(o) for o, c in sums.items()]
+    within = Window.partitionBy(*by, BUCKET).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return cut.join(F.broadcast(offsets), [*by, BUCKET]).select(
+        *df.columns,
+        *[(F.col(f"_o_{o}") + F.sum(c).over(within)).alias(o) for o, c in sums.items()],
+        *totals,
     )

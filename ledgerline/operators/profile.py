@@ -20,7 +20,7 @@ from ledgerline.functions import (
     to_double,
 )
 from ledgerline.functions.numeric import as_column
-from ledgerline.functions.ordering import BUCKET, range_splits, with_range_bucket
+from ledgerline.functions.ordering import BUCKET, ROWS_PER_BUCKET, range_splits, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles
 
 # Beyond this many pairs the correlations come from block sums instead of one aggregate each.
@@ -52,15 +52,14 @@ def table_shape(df: DataFrame, date_column: str) -> DataFrame:
     )
 
 
-def order_check(df: DataFrame, value: str, key: str, rows_per_bucket: int | None = None) -> DataFrame:
+def order_check(df: DataFrame, value: str, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Is ``value`` non-decreasing when the rows are read in order of ``key`` (unique)?
 
     ``(n_pairs, n_inversions, is_sorted)``. Neighbours are compared inside ranges of the key;
     one row per range carries its first and last value across the range borders.
     """
     slim = df.select(F.col(value).alias("v"), F.col(key).alias("k"))
-    splits = range_splits(slim, F.col("k"), **({"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}))
-    cut = with_range_bucket(slim, F.col("k"), splits)
+    cut = with_range_bucket(slim, "k", range_splits(slim, "k", rows_per_bucket))
     inside = cut.withColumn("p", F.lag("v").over(Window.partitionBy(BUCKET).orderBy("k")))
     ranges = inside.groupBy(BUCKET).agg(
         F.count("*").alias("n"),
