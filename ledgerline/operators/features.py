@@ -314,7 +314,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec) -> FeatureModel:
     return model
 
 
-def plain_spec(numeric: Sequence[str], categorical: Sequence[str], exclude: Sequence[str]) -> FeatureSpec:
+def plain_spec(categorical: Sequence[str], exclude: Sequence[str]) -> FeatureSpec:
     """Median and scale for numbers, every level of the categories, nothing else."""
     return FeatureSpec(one_hot=list(categorical), exclude=list(exclude), drop_first=False)
 
