@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import HIGH_RATE_LABEL, LOW_RATE_LABEL, LOW_RATE_LIMIT
+from ledgerline.functions.numeric import as_column
 from ledgerline.operators.filters import years_condition
 from ledgerline.operators.timeseries import month_of
 
@@ -47,11 +48,8 @@ def regime_wide(long: DataFrame, category: str, order: Sequence[str]) -> DataFra
         long.groupBy(category).pivot("rate_regime", [HIGH_RATE_LABEL, LOW_RATE_LABEL]).agg(F.first("default_rate"))
     )
     place = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(category))
-    return (
-        wide.filter(place > 0)
-        .dropna("all", subset=[HIGH_RATE_LABEL, LOW_RATE_LABEL])
-        .orderBy(place)
-    )
+    known = as_column(HIGH_RATE_LABEL).isNotNull() | as_column(LOW_RATE_LABEL).isNotNull()
+    return wide.filter((place > 0) & known).orderBy(place)
 
 
 def rate_by_difference(

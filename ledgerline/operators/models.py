@@ -9,12 +9,13 @@ from __future__ import annotations
 import math
 import random
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -70,24 +71,29 @@ def with_class_weight(df: DataFrame, label: str, scheme: str) -> DataFrame:
 
 # Fitting.
 
-def _assembler(features: Sequence[str]) -> VectorAssembler:
+def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
 
-def training_rows(df: DataFrame, features: Sequence[str], label: str, scheme: str = "none") -> DataFrame:
-    """Label, weight and assembled vector, kept on the executors for the passes of the fit."""
+@contextmanager
+def training_rows(
+    df: DataFrame, features: Sequence[str], label: str, scheme: str = "none", keep: Sequence[Column] = ()
+) -> Iterator[DataFrame]:
+    """Label, weight and assembled vector, kept on the executors for the passes of one or many fits."""
     weighted = with_class_weight(df, label, scheme)
-    rows = _assembler(features).transform(weighted).select(F.col(label).cast("double").alias(label), WEIGHT, FEATURES)
-    return rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, estimator) -> PipelineModel:
-    rows = training_rows(train, features, label, scheme)
+    rows = assembler(features).transform(weighted).select(
+        F.col(label).cast("double").alias(label), WEIGHT, FEATURES, *keep
+    )
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = estimator.fit(rows)
+        yield rows
     finally:
         rows.unpersist()
-    return PipelineModel([_assembler(features), fitted])
+
+
+def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, estimator: Estimator) -> PipelineModel:
+    with training_rows(train, features, label, scheme) as rows:
+        return PipelineModel([assembler(features), estimator.fit(rows)])
 
 
 def logistic(label: str, c: float, weight_total: float, max_iter: int) -> LogisticRegression:
@@ -98,36 +104,16 @@ def logistic(label: str, c: float, weight_total: float, max_iter: int) -> Logist
     )
 
 
-def fit_logistic(
-    train: DataFrame, features: Sequence[str], label: str, c: float = 1.0, scheme: str = "balanced", max_iter: int = 1000
-) -> PipelineModel:
-    negatives, positives = class_counts(train, label)
-    weights = class_weights(negatives, positives, scheme)
-    total = negatives * weights[0] + positives * weights[1]
-    return _fit(train, features, label, scheme, logistic(label, c, total, max_iter))
-
-
-def fit_tree(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str,
-    max_depth: int = 5,
-    min_leaf: int = 1,
-    criterion: str = "gini",
-    scheme: str = "balanced",
-    max_bins: int = 32,
-    seed: int = 42,
-) -> PipelineModel:
-    tree = DecisionTreeClassifier(
+def tree(
+    label: str, max_depth: int = 5, min_leaf: int = 1, criterion: str = "gini", max_bins: int = 32, seed: int = 42
+) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(
         featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, maxDepth=max_depth,
         minInstancesPerNode=min_leaf, impurity=criterion, maxBins=max_bins, seed=seed,
     )
-    return _fit(train, features, label, scheme, tree)
 
 
-def fit_boosted(
-    train: DataFrame,
-    features: Sequence[str],
+def boosted(
     label: str,
     trees: int = 100,
     max_depth: int = 6,
@@ -136,17 +122,35 @@ def fit_boosted(
     column_share: float = 1.0,
     min_leaf: int = 1,
     max_bins: int = 32,
-    scheme: str = "ratio",
     seed: int = 42,
-) -> PipelineModel:
-    """Gradient-boosted trees. The two boosted variants differ in ``scheme`` and sampling parameters."""
-    boosted = GBTClassifier(
+) -> GBTClassifier:
+    """Gradient-boosted trees; the two boosted variants differ in class weights and these parameters."""
+    return GBTClassifier(
         featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, maxIter=trees, maxDepth=max_depth,
         stepSize=learning_rate, subsamplingRate=row_share,
         featureSubsetStrategy="all" if column_share >= 1 else str(column_share),
         minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
     )
-    return _fit(train, features, label, scheme, boosted)
+
+
+def fit_logistic(
+    train: DataFrame, features: Sequence[str], label: str, c: float = 1.0, scheme: str = "balanced", max_iter: int = 1000
+) -> PipelineModel:
+    with training_rows(train, features, label, scheme) as rows:
+        total = rows.agg(F.sum(WEIGHT)).first()[0]
+        return PipelineModel([assembler(features), logistic(label, c, total, max_iter).fit(rows)])
+
+
+def fit_tree(
+    train: DataFrame, features: Sequence[str], label: str, scheme: str = "balanced", **params
+) -> PipelineModel:
+    return _fit(train, features, label, scheme, tree(label, **params))
+
+
+def fit_boosted(
+    train: DataFrame, features: Sequence[str], label: str, scheme: str = "ratio", **params
+) -> PipelineModel:
+    return _fit(train, features, label, scheme, boosted(label, **params))
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -163,9 +167,13 @@ def with_fold(df: DataFrame, key: str, folds: int, seed: int = 42) -> DataFrame:
     return df.withColumn(FOLD, F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int"))
 
 
-def _map_parallel(task: Callable, items: Sequence, parallelism: int) -> list:
+def _map_parallel(spark: SparkSession, task: Callable, items: Sequence, parallelism: int) -> list:
     with ThreadPool(max(1, parallelism)) as pool:
-        return pool.map(inheritable_thread_target(task), items)
+        return pool.map(inheritable_thread_target(spark)(task), items)
+
+
+def _fold_weights(rows: DataFrame) -> dict[int, float]:
+    return {r[0]: r[1] for r in rows.groupBy(FOLD).agg(F.sum(WEIGHT)).collect()}
 
 
 def cross_validate_logistic(
@@ -179,12 +187,9 @@ def cross_validate_logistic(
     parallelism: int = 4,
 ) -> tuple[list[dict], PipelineModel]:
     """AUC of every penalty over the folds, and the best one refitted on all rows."""
-    folded = _assembler(features).transform(with_fold(with_class_weight(train, label, "balanced"), key, folds))
-    rows = folded.select(F.col(label).cast("double").alias(label), WEIGHT, FEATURES, FOLD).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        totals = {r[0]: r[1] for r in rows.groupBy(FOLD).agg(F.sum(WEIGHT)).collect()}
+    spark = train.sparkSession
+    with training_rows(with_fold(train, key, folds), features, label, "balanced", [F.col(FOLD)]) as rows:
+        totals = _fold_weights(rows)
 
         def run(job):
             c, fold = job
@@ -194,7 +199,7 @@ def cross_validate_logistic(
             scored = held.select(F.col(label).cast("int").alias(label), vector_to_array("probability")[1].alias(SCORE))
             return c, ranking_metrics(scored, SCORE, label).first()["auc_roc"]
 
-        aucs = _map_parallel(run, [(c, f) for c in cs for f in sorted(totals)], parallelism)
+        aucs = _map_parallel(spark, run, [(c, f) for c in cs for f in sorted(totals)], parallelism)
         table = []
         for c in cs:
             own = [a for k, a in aucs if k == c]
@@ -202,9 +207,7 @@ def cross_validate_logistic(
             table.append({"c": c, "mean_auc": mean, "std_auc": math.sqrt(sum((a - mean) ** 2 for a in own) / len(own))})
         best = max(table, key=lambda r: r["mean_auc"])["c"]
         fitted = logistic(label, best, sum(totals.values()), max_iter).fit(rows)
-    finally:
-        rows.unpersist()
-    return table, PipelineModel([_assembler(features), fitted])
+    return table, PipelineModel([assembler(features), fitted])
 
 
 # Linear SVM with sigmoid calibration.
@@ -218,7 +221,7 @@ class CalibratedSvm:
     c: float = 1.0
 
     def predict(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        rows = _assembler(self.features).transform(df)
+        rows = assembler(self.features).transform(df)
         probabilities = []
         for i, (svc, slope, intercept) in enumerate(self.folds):
             marked = svc.copy().setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_label{i}")
@@ -256,12 +259,9 @@ def fit_calibrated_svm(
     parallelism: int = 3,
 ) -> CalibratedSvm:
     """For each fold: margin model on the other rows, sigmoid on the fold."""
-    folded = _assembler(features).transform(with_fold(with_class_weight(train, label, "balanced"), key, folds))
-    rows = folded.select(F.col(label).cast("double").alias(label), WEIGHT, FEATURES, FOLD).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        totals = {r[0]: r[1] for r in rows.groupBy(FOLD).agg(F.sum(WEIGHT)).collect()}
+    spark = train.sparkSession
+    with training_rows(with_fold(train, key, folds), features, label, "balanced", [F.col(FOLD)]) as rows:
+        totals = _fold_weights(rows)
 
         def run(fold):
             weight = sum(w for f, w in totals.items() if f != fold)
@@ -273,9 +273,7 @@ def fit_calibrated_svm(
             margins = held.select(label, vector_to_array("rawPrediction")[1].alias("margin"))
             return (svc, *_sigmoid(margins, label))
 
-        fitted = _map_parallel(run, sorted(totals), parallelism)
-    finally:
-        rows.unpersist()
+        fitted = _map_parallel(spark, run, sorted(totals), parallelism)
     return CalibratedSvm(list(features), fitted, c)
 
 
@@ -365,7 +363,7 @@ def draw(space: Mapping[str, Callable], trials: int, seed: int = 42) -> list[dic
 
 def search(
     name: str,
-    fit: Callable[..., PipelineModel],
+    make: Callable[..., Estimator],
     space: Mapping[str, Callable],
     train: DataFrame,
     val: DataFrame,
@@ -374,22 +372,29 @@ def search(
     trials: int = 50,
     seed: int = 42,
     parallelism: int = 2,
+    scheme: str = "balanced",
     **fixed,
 ) -> Fitted:
-    """Random search by validation AUC, then a refit of the best parameters."""
-    started = time.monotonic()
-
-    def run(params):
-        model = fit(train, features, label, **params, **fixed)
-        return ranking_metrics(predict(model, val, [label]), SCORE, label).first()["auc_roc"]
+    """Random search by validation AUC, then a refit of the best parameters.
 
-    drawn = draw(space, trials, seed)
-    aucs = _map_parallel(run, drawn, parallelism)
-    seconds = time.monotonic() - started
-    best = drawn[max(range(len(aucs)), key=lambda i: aucs[i])]
-    model = fit(train, features, label, **best, **fixed)
+    ``make`` builds the estimator; all trials share one copy of the assembled rows.
+    """
+    started = time.monotonic()
+    held = [F.col(label).cast("int").alias(label)]
+    with training_rows(train, features, label, scheme) as rows, training_rows(val, features, label) as held_rows:
+
+        def run(params):
+            scored = make(label, **params, **fixed).fit(rows).transform(held_rows)
+            scored = scored.select(*held, vector_to_array("probability")[1].alias(SCORE))
+            return ranking_metrics(scored, SCORE, label).first()["auc_roc"]
+
+        drawn = draw(space, trials, seed)
+        aucs = _map_parallel(train.sparkSession, run, drawn, parallelism)
+        seconds = time.monotonic() - started
+        best = drawn[max(range(len(aucs)), key=lambda i: aucs[i])]
+        model = PipelineModel([assembler(features), make(label, **best, **fixed).fit(rows)])
     done = [{"trial": i, "auc": a, **p} for i, (a, p) in enumerate(zip(aucs, drawn))]
-    return Fitted(name, "tuned", model, {**best, **fixed}, validation_metrics(model, val, label), seconds, done)
+    return Fitted(name, "tuned", model, {**best, **fixed, "scheme": scheme}, validation_metrics(model, val, label), seconds, done)
 
 
 def results_table(spark: SparkSession, fitted: Sequence[Fitted]) -> DataFrame:

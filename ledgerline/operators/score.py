@@ -121,7 +121,7 @@ def risk_level(probability: Column) -> Column:
 
 def _tier_text(probability: Column) -> Column:
     """``"Low risk (20.0%) — Recommendation: Approve"``."""
-    share = F.concat(F.format_number(probability * 100, "0.0"), F.lit("%"))
+    share = F.concat(F.call_function("format_number", probability * 100, F.lit("0.0")), F.lit("%"))
     chain = None
     for bound, _, tier, decision in RISK_TIERS:
         text = F.concat(F.lit(f"{tier} risk ("), share, F.lit(f") — Recommendation: {decision}"))

@@ -96,11 +96,11 @@ def select_model(
 ) -> list[models.Fitted]:
     """Baseline logistic regression and three searched tree models, on the same rows."""
     searches = [
-        ("DecisionTree", models.fit_tree, models.TREE_SPACE, {}),
-        ("BoostedTrees", models.fit_boosted, models.BOOSTED_SPACE, {"scheme": "ratio"}),
-        ("HistogramBoostedTrees", models.fit_boosted, models.HISTOGRAM_BOOSTED_SPACE, {"scheme": "balanced", "max_bins": 256}),
+        ("DecisionTree", models.tree, models.TREE_SPACE, {"scheme": "balanced"}),
+        ("BoostedTrees", models.boosted, models.BOOSTED_SPACE, {"scheme": "ratio"}),
+        ("HistogramBoostedTrees", models.boosted, models.HISTOGRAM_BOOSTED_SPACE, {"scheme": "balanced", "max_bins": 256}),
     ]
     out = [models.fit_and_score("LogisticRegression", "baseline", models.fit_logistic, train, val, names, label)]
-    for name, fit, space, fixed in searches:
-        out.append(models.search(name, fit, space, train, val, names, label, trials=trials, **fixed))
+    for name, make, space, fixed in searches:
+        out.append(models.search(name, make, space, train, val, names, label, trials=trials, **fixed))
     return out

@@ -49,11 +49,10 @@ def _scored(spark, sf):
     SELECT threshold, fp * 1e0 / n_neg AS fpr, tp * 1e0 / n_pos AS tpr FROM {_curve('coarse')} AS c
     UNION ALL SELECT 'inf'::DOUBLE, 0e0, 0e0
     """,
-    doubles="fpr tpr",
+    doubles="threshold fpr tpr",
 )
 def _(spark, sf):
-    points = ev.roc_points(_scored(spark, sf), "coarse", "label", drop_intermediate=False)
-    return points
+    return ev.roc_points(_scored(spark, sf), "coarse", "label", drop_intermediate=False)
 
 
 _CORNERS = f"""(

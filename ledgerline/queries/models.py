@@ -119,7 +119,7 @@ def _(spark, sf):
 @query("tree_search", "L8 L3")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    found = md.search("DecisionTree", md.fit_tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=4)
+    found = md.search("DecisionTree", md.tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=4)
     return spark.createDataFrame(
         [(t["trial"], t["max_depth"], t["min_leaf"], t["criterion"], t["auc"]) for t in found.trials],
         "trial int, max_depth int, min_leaf int, criterion string, val_auc_roc double",

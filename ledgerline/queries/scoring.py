@@ -8,6 +8,7 @@ from ledgerline import config as cfg
 from ledgerline.operators import features as fe
 from ledgerline.operators import models as md
 from ledgerline.operators import score as sc
+from ledgerline.operators.evaluate import confusion_at
 from ledgerline.plans.layers import feature_frame, fit_loan_features, prepared
 from ledgerline.queries.base import query
 from ledgerline.queries.frames import APPLICANTS, LEARNABLE, LOANS, SCORED, frame, sql
@@ -118,16 +119,16 @@ def _(spark, sf):
     sql=f"""
     WITH c AS (SELECT row_id, unnest([struct_pack(f := 'quantity', v := quantity * 0.02), struct_pack(f := 'discount', v := discount * -3e0),
       struct_pack(f := 'tax', v := tax * 2e0), struct_pack(f := 'line', v := line * 0.05)], recursive := true) FROM (
-        SELECT min(row_id) AS row_id, quantity, discount, tax, line FROM {sql(LEARNABLE)} AS l GROUP BY quantity, discount, tax, line) AS g),
-    p AS (SELECT *, row_number() OVER (PARTITION BY row_id, place_key ORDER BY abs(v) DESC, f) AS place FROM (SELECT *, 0 AS place_key FROM c) AS c2)
+        SELECT row_number() OVER () AS row_id, quantity, discount, tax, line FROM {sql(LEARNABLE)} AS l) AS g),
+    p AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY abs(v) DESC, f) AS place FROM c)
     SELECT f AS feature, cast(place AS int) AS place, count(*) AS n, avg(v) AS mean_value FROM p WHERE place <= 2 GROUP BY 1, 2
     """,
     doubles="mean_value",
 )
 def _(spark, sf):
-    rows = frame(spark, sf, LEARNABLE).groupBy("quantity", "discount", "tax", "line").agg(F.min("row_id").alias("row_id"))
+    rows = frame(spark, sf, LEARNABLE)
     explained = sc.linear_contributions(rows, {"quantity": 0.02, "discount": -3.0, "tax": 2.0, "line": 0.05}, top=2)
-    each = explained.select("row_id", F.posexplode("contributions").alias("place", "c"))
+    each = explained.select(F.posexplode("contributions").alias("place", "c"))
     return each.groupBy(F.col("c.feature").alias("feature"), (F.col("place") + 1).alias("place")).agg(
         F.count("*").alias("n"), F.avg("c.value").alias("mean_value")
     )
@@ -142,8 +143,6 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    from ledgerline.operators.evaluate import confusion_at
-
     path = shared_path(spark, "scores")
     frame(spark, sf, SCORED).write.parquet(path)
     return confusion_at(spark.read.parquet(path), "fine", "label", 0.5)

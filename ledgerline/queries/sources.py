@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline import config as cfg
 from ledgerline.operators.timeseries import series_summary
 from ledgerline.queries.base import query, table
 from ledgerline.queries.frames import MACRO_LONG, RAW_LOANS, frame, sql
@@ -81,10 +82,10 @@ def _(spark, sf):
     folder = shared_path(spark, "series")
     long = frame(spark, sf, MACRO_LONG)
     # The sink names each file after its series, as a download of one file per series would.
-    for series_id in [r[0] for r in long.select("series_id").distinct().collect()]:
+    for series_id in [*cfg.NATIONAL_SERIES, *cfg.STATE_SERIES.values()]:
         one = long.filter(F.col("series_id") == series_id).select("observation_date", "value")
         write_csv(one.coalesce(1), f"{folder}/{series_id}.csv")
-    return series_summary(macro_series(spark, f"{folder}"))
+    return series_summary(macro_series(spark, folder))
 
 
 @query(

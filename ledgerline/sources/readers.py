@@ -99,8 +99,8 @@ def in_memory_table(spark: SparkSession, rows: Iterable, schema: T.StructType |
 def macro_series(spark: SparkSession, folder: str) -> DataFrame:
     """``(series_id, observation_date, value)`` from a folder with one two-column CSV per series.
 
-    The file name is the series id, the columns are taken by position, and a value that is
-    not a number becomes NULL.
+    ``<series id>.csv`` is a file, or a folder of parts as Spark writes it. The columns are
+    taken by position, and a value that is not a number becomes NULL.
     """
     schema = T.StructType(
         [T.StructField("observation_date", T.StringType()), T.StructField("value", T.StringType())]
@@ -109,11 +109,12 @@ def macro_series(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.option("header", True)
         .option("enforceSchema", True)
         .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
         .schema(schema)
         .csv(folder)
     )
     return raw.select(
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "").alias("series_id"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(?:/part-[^/]*)?$", 1).alias("series_id"),
         F.col("observation_date").try_cast("date").alias("observation_date"),
         to_double("value").alias("value"),
     )
