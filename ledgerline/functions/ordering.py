@@ -1,7 +1,8 @@
 """Global running sums without a global window.
 
 The rows are cut into value ranges by a quantile sketch. Each range is ordered in its own
-task, and the range totals (at most ``MAX_BUCKETS`` rows) give each range its offset.
+task, and the range totals (at most ``MAX_BUCKETS`` rows) give each range its offset. A table
+counted to fit one range is left in one piece.
 """
 
 from __future__ import annotations
@@ -15,9 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
-MIN_BUCKETS = 8
 MAX_BUCKETS = 10_000
-FIRST_SKETCH = 1_000
+FIRST_SKETCH = 200
 BUCKET = "_bucket"
 
 
@@ -32,17 +32,20 @@ def numeric_key(df: DataFrame, column: str) -> Column:
 
 
 def range_splits(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
-    """Interior split points that cut the column into ranges of about ``rows_per_bucket`` rows."""
+    """Interior split points that cut the column into ranges of about ``rows_per_bucket`` rows.
+
+    None for a table that one task can order.
+    """
     key = numeric_key(df, column)
 
     def sketch(parts: int):
-        shares = [i / parts for i in range(1, parts)]
+        shares = F.expr("array(" + ",".join(f"{i / parts!r}D" for i in range(1, parts)) + ")")
         return df.agg(F.count(key), F.approx_percentile(key, shares, 10 * parts)).first()
 
     n, points = sketch(FIRST_SKETCH)
-    if not n:
+    if n <= rows_per_bucket:
         return []
-    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(n / rows_per_bucket)))
+    buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
     if buckets > FIRST_SKETCH:
         points = sketch(buckets)[1]
     else:
@@ -75,12 +78,20 @@ def running_sums(
     ``totals`` adds whole-group sums.
     """
     totals = totals or {}
-    cut = with_range_bucket(df, order, splits)
     inputs = sorted({*sums.values(), *totals.values()})
 
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
+    if not splits:
+        whole = Window.partitionBy(*by)
+        ordered = whole.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(
+            *df.columns,
+            *[F.sum(c).over(ordered).alias(o) for o, c in sums.items()],
+            *[F.sum(c).over(whole).alias(o) for o, c in totals.items()],
+        )
+    cut = with_range_bucket(df, order, splits)
     # At most MAX_BUCKETS rows per group, hence the window over them and the broadcast.
     per_range = cut.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"_s_{c}") for c in inputs])
     group = Window.partitionBy(*by)

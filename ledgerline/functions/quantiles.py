@@ -4,11 +4,11 @@ Spark's ``percentile`` keeps every distinct value of a column in one buffer, whi
 fine for a column of few distinct values and impossible for a large one. Columns whose
 estimated distinct count exceeds ``value_limit`` are therefore solved by narrowing:
 
-1. a quantile sketch gives a value interval around each wanted rank;
+1. a quantile sketch gives a value interval around the wanted ranks;
 2. one aggregate counts the rows below and inside each interval, which proves that the
-   rank lies in it (otherwise the interval is widened to the whole column);
+   ranks lie in it (an unproven interval is not used);
 3. the interval is narrowed again until it holds few distinct values; only those, with
-   their counts, are shuffled, and the running count picks the value.
+   their counts, are shuffled, and the running count picks the values.
 
 Every step is a map-side combined aggregate; the driver sees a few numbers per rank.
 """
@@ -25,48 +25,126 @@ from pyspark.sql import functions as F
 from ledgerline.functions.numeric import as_column
 
 VALUE_LIMIT = 100_000
-ACCURACY = 10_000
-MAX_ROUNDS = 8
+# Sketch accuracy for columns of fewer and of more values than LARGE_COLUMN.
+ACCURACY, LARGE_ACCURACY, LARGE_COLUMN = 1_000, 10_000, 50_000_000
+MAX_ROUNDS = 10
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Interval:
-    """The value interval known to hold the row of rank ``rank`` (0-based) of ``name``."""
+    """The values known to hold the neighbouring ranks ``first`` to ``last`` (0-based) of ``name``."""
 
     name: str
-    rank: int
+    first: int
+    last: int
     low: object
     high: object
     below: int
     inside: int
     distinct: int
 
+    @property
+    def solved(self) -> bool:
+        return self.low == self.high
+
 
 def _inside(col: Column, iv: _Interval) -> Column:
     return (col >= F.lit(iv.low)) & (col <= F.lit(iv.high))
 
 
-def _bracket_columns(col: Column, rank: int, n: int) -> list[Column]:
-    """Low and high sketch quantiles a little to either side of ``rank`` among ``n`` values."""
-    low_p, high_p = rank / n - 2.0 / ACCURACY, (rank + 1) / n + 2.0 / ACCURACY
-    low = F.min(col) if low_p <= 0 else F.approx_percentile(col, low_p, ACCURACY)
-    high = F.max(col) if high_p >= 1 else F.approx_percentile(col, high_p, ACCURACY)
-    return [low, high]
+def _profile(df: DataFrame, exprs: Mapping[str, Column]) -> dict[str, tuple]:
+    """Count, minimum, maximum and estimated distinct count of each expression."""
+    row = df.agg(
+        *[F.struct(F.count(e), F.min(e), F.max(e), F.approx_count_distinct(e)).alias(f"s{i}")
+          for i, e in enumerate(exprs.values())]
+    ).first()
+    return {name: tuple(row[i]) for i, name in enumerate(exprs)}
+
+
+def _narrowed(df: DataFrame, exprs: Mapping[str, Column], wide: Sequence[_Interval]) -> list[_Interval]:
+    """A tighter interval for each of ``wide`` from a sketch, proven by counting; the old one if unproven."""
+    shared: dict[tuple, list[_Interval]] = {}
+    for iv in wide:
+        shared.setdefault((iv.name, iv.low, iv.high), []).append(iv)
+    aggs, shares = [], []
+    for group in shared.values():
+        accuracy = LARGE_ACCURACY if group[0].inside > LARGE_COLUMN else ACCURACY
+        margin = 2.0 / accuracy
+        wanted = []
+        for iv in group:
+            wanted += [(iv.first - iv.below) / iv.inside - margin, (iv.last - iv.below + 1) / iv.inside + margin]
+        col = F.when(_inside(exprs[group[0].name], group[0]), exprs[group[0].name])
+        aggs.append(F.approx_percentile(col, [min(1.0, max(0.0, w)) for w in wanted], accuracy))
+        shares.append(wanted)
+    points = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
+
+    tried, old = [], []
+    for g, group in enumerate(shared.values()):
+        for i, iv in enumerate(group):
+            low = iv.low if shares[g][2 * i] <= 0 else points[g][2 * i]
+            high = iv.high if shares[g][2 * i + 1] >= 1 else points[g][2 * i + 1]
+            tried.append(_Interval(iv.name, iv.first, iv.last, low, high, 0, 0, 0))
+            old.append(iv)
+    counts = []
+    for iv in tried:
+        col = exprs[iv.name]
+        within = _inside(col, iv)
+        counts.append(
+            F.struct(
+                F.count_if(col < F.lit(iv.low)), F.count_if(within), F.approx_count_distinct(F.when(within, col))
+            )
+        )
+    row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    out = []
+    for i, iv in enumerate(tried):
+        below, inside, distinct = row[i]
+        proven = below <= iv.first and iv.last < below + inside
+        out.append(_Interval(iv.name, iv.first, iv.last, iv.low, iv.high, below, inside, distinct) if proven else old[i])
+    return out
 
 
-def _count(df: DataFrame, exprs: Mapping[str, Column], intervals: list[_Interval]) -> None:
-    """Fill in rows below and inside, and the distinct estimate, of every interval."""
-    aggs = []
-    for iv in intervals:
-        col = exprs[iv.name]
-        aggs += [
-            F.count_if(col < F.lit(iv.low)),
-            F.count_if(_inside(col, iv)),
-            F.approx_count_distinct(F.when(_inside(col, iv), col)),
-        ]
-    row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
-    for i, iv in enumerate(intervals):
-        iv.below, iv.inside, iv.distinct = row[3 * i], row[3 * i + 1], row[3 * i + 2]
+def _pick(df: DataFrame, exprs: Mapping[str, Column], intervals: Sequence[_Interval]) -> dict[tuple[str, int], object]:
+    """Count the distinct values inside each interval and read off the values at its ranks."""
+    cells = [
+        F.when(_inside(exprs[iv.name], iv), F.struct(F.lit(i).alias("id"), exprs[iv.name].alias("v")))
+        for i, iv in enumerate(intervals)
+    ]
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+        .groupBy(F.col("cell.id").alias("id"), F.col("cell.v").alias("v"))
+        .agg(F.count("*").alias("n"))
+    )
+    running = Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+
+    def rank(which: str) -> Column:
+        ranks = [F.lit(getattr(iv, which) - iv.below) for iv in intervals]
+        return F.element_at(F.array(*ranks), F.col("id") + 1)
+
+    rows = (
+        counts.withColumn("upto", F.sum("n").over(running))
+        .groupBy("id")
+        .agg(
+            F.min(F.when(F.col("upto") > rank("first"), F.col("v"))).alias("first"),
+            F.min(F.when(F.col("upto") > rank("last"), F.col("v"))).alias("last"),
+        )
+        .collect()
+    )
+    found = {}
+    for r in rows:
+        iv = intervals[r["id"]]
+        found[iv.name, iv.first], found[iv.name, iv.last] = r["first"], r["last"]
+    return found
+
+
+def _spans(ranks: Sequence[int]) -> list[tuple[int, int]]:
+    """Ranks as spans, two neighbouring ranks sharing one."""
+    out: list[list[int]] = []
+    for r in sorted(set(ranks)):
+        if out and out[-1][0] == out[-1][1] == r - 1:
+            out[-1][1] = r
+        else:
+            out.append([r, r])
+    return [(a, b) for a, b in out]
 
 
 def order_statistics(
@@ -74,78 +152,39 @@ def order_statistics(
     exprs: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     value_limit: int = VALUE_LIMIT,
+    profile: Mapping[str, tuple] | None = None,
 ) -> dict[tuple[str, int], object]:
     """The value at each 0-based rank of each expression in ascending order, NULLs left out."""
-    wanted = [(name, r) for name, rs in ranks.items() for r in sorted(set(rs))]
-    if not wanted:
+    if not any(ranks.values()):
         return {}
-    names = list(ranks)
-    base = df.agg(
-        *[F.struct(F.count(exprs[n]), F.min(exprs[n]), F.max(exprs[n]), F.approx_count_distinct(exprs[n])).alias(f"s{i}")
-          for i, n in enumerate(names)]
-    ).first()
-    whole = {n: tuple(base[i]) for i, n in enumerate(names)}
-    for name, rank in wanted:
-        if not 0 <= rank < whole[name][0]:
-            raise ValueError(f"rank {rank} is outside the {whole[name][0]} values of {name}")
-    intervals = [_Interval(n, r, whole[n][1], whole[n][2], 0, whole[n][0], whole[n][3]) for n, r in wanted]
+    whole = profile or _profile(df, {n: exprs[n] for n in ranks})
+    intervals = []
+    for name, wanted in ranks.items():
+        n, low, high, distinct = whole[name]
+        if wanted and not 0 <= min(wanted) <= max(wanted) < n:
+            raise ValueError(f"ranks {wanted} are not all within the {n} values of {name}")
+        intervals += [_Interval(name, a, b, low, high, 0, n, distinct) for a, b in _spans(wanted)]
 
     for _ in range(MAX_ROUNDS):
-        wide = [iv for iv in intervals if iv.distinct > value_limit and iv.low != iv.high]
+        wide = [iv for iv in intervals if iv.distinct > value_limit and not iv.solved]
         if not wide:
             break
-        aggs = []
-        for iv in wide:
-            col = exprs[iv.name]
-            aggs += _bracket_columns(F.when(_inside(col, iv), col), iv.rank - iv.below, iv.inside)
-        row = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
-        tried = [
-            _Interval(iv.name, iv.rank, row[2 * i], row[2 * i + 1], 0, 0, 0) for i, iv in enumerate(wide)
-        ]
-        _count(df, exprs, tried)
-        progress = False
-        for old, new in zip(wide, tried):
-            proven = new.below <= new.rank < new.below + new.inside
-            if proven and (new.low, new.high) != (old.low, old.high):
-                intervals[intervals.index(old)] = new
-                progress = True
-        if not progress:
+        tighter = _narrowed(df, exprs, wide)
+        intervals = [iv for iv in intervals if iv not in wide] + tighter
+        if set(tighter) == set(wide):
             break
 
-    found = {(iv.name, iv.rank): iv.low for iv in intervals if iv.low == iv.high}
-    open_ = [iv for iv in intervals if iv.low != iv.high]
+    found = {(iv.name, r): iv.low for iv in intervals if iv.solved for r in (iv.first, iv.last)}
+    types = {n: df.select(exprs[n].alias("e")).schema[0].dataType.simpleString() for n in ranks}
     by_type: dict[str, list[_Interval]] = {}
-    types = dict(zip(names, [f.dataType.simpleString() for f in df.select(*[exprs[n] for n in names]).schema]))
-    for iv in open_:
-        by_type.setdefault(types[iv.name], []).append(iv)
+    for iv in intervals:
+        if not iv.solved:
+            by_type.setdefault(types[iv.name], []).append(iv)
     for group in by_type.values():
         found.update(_pick(df, exprs, group))
     return found
 
 
-def _pick(df: DataFrame, exprs: Mapping[str, Column], intervals: list[_Interval]) -> dict[tuple[str, int], object]:
-    """Count the distinct values inside each interval and read off the value at the rank."""
-    cells = [
-        F.when(_inside(exprs[iv.name], iv), F.struct(F.lit(i).alias("id"), exprs[iv.name].alias("v")))
-        for i, iv in enumerate(intervals)
-    ]
-    counts = (
-        df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
-        .groupBy(F.col("cell.id").alias("id"), F.col("cell.v").alias("v"))
-        .count()
-    )
-    running = Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    target = F.element_at(F.array(*[F.lit(iv.rank - iv.below) for iv in intervals]), F.col("id") + 1)
-    rows = (
-        counts.withColumn("upto", F.sum("count").over(running))
-        .filter(F.col("upto") > target)
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
-        .collect()
-    )
-    return {(intervals[r["id"]].name, intervals[r["id"]].rank): r["v"] for r in rows}
-
-
 def exact_quantiles(
     df: DataFrame,
     exprs: Mapping[str, Column] | Sequence[str],
@@ -158,13 +197,10 @@ def exact_quantiles(
     if not exprs:
         return {}
     cols = {name: e.cast("double") for name, e in exprs.items()}
-    sizes = df.agg(
-        *[F.struct(F.count(c), F.approx_count_distinct(c)).alias(f"s{i}") for i, c in enumerate(cols.values())]
-    ).first()
-    size = {name: tuple(sizes[i]) for i, name in enumerate(cols)}
-    out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if size[n][0] == 0}
+    whole = _profile(df, cols)
+    out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if whole[n][0] == 0}
 
-    few = [n for n in cols if size[n][0] and size[n][1] <= value_limit]
+    few = [n for n in cols if whole[n][0] and whole[n][3] <= value_limit]
     if few:
         row = df.agg(
             *[F.percentile(cols[n], F.array(*[F.lit(float(p)) for p in probabilities])).alias(f"q{i}")
@@ -172,18 +208,14 @@ def exact_quantiles(
         ).first()
         out.update({n: list(row[i]) for i, n in enumerate(few)})
 
-    many = [n for n in cols if size[n][0] and size[n][1] > value_limit]
+    many = [n for n in cols if whole[n][0] and whole[n][3] > value_limit]
     if many:
-        ranks = {}
-        for n in many:
-            spots = [p * (size[n][0] - 1) for p in probabilities]
-            ranks[n] = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-        found = order_statistics(df, {n: cols[n] for n in many}, ranks, value_limit)
+        spots = {n: [p * (whole[n][0] - 1) for p in probabilities] for n in many}
+        ranks = {n: [r for s in spots[n] for r in (math.floor(s), math.ceil(s))] for n in many}
+        found = order_statistics(df, {n: cols[n] for n in many}, ranks, value_limit, {n: whole[n] for n in many})
         for n in many:
-            values = []
-            for p in probabilities:
-                spot = p * (size[n][0] - 1)
+            out[n] = []
+            for spot in spots[n]:
                 low, high = found[n, math.floor(spot)], found[n, math.ceil(spot)]
-                values.append(low + (high - low) * (spot - math.floor(spot)))
-            out[n] = values
+                out[n].append(low + (high - low) * (spot - math.floor(spot)))
     return out

@@ -35,6 +35,7 @@ FEATURES = "features"
 WEIGHT = "_weight"
 FOLD = "_fold"
 SCORE = "score"
+SMALL_PARTITION_BYTES = 32 << 20
 
 
 # Class weights.
@@ -65,10 +66,6 @@ def weight_column(label: str, weights: tuple[float, float]) -> Column:
     return F.when(F.col(label) == 1, F.lit(float(weights[1]))).otherwise(F.lit(float(weights[0])))
 
 
-def with_class_weight(df: DataFrame, label: str, scheme: str) -> DataFrame:
-    return df.withColumn(WEIGHT, weight_column(label, class_weights(*class_counts(df, label), scheme)))
-
-
 # Fitting.
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -80,10 +77,15 @@ def training_rows(
     df: DataFrame, features: Sequence[str], label: str, scheme: str = "none", keep: Sequence[Column] = ()
 ) -> Iterator[DataFrame]:
     """Label, weight and assembled vector, kept on the executors for the passes of one or many fits."""
-    weighted = with_class_weight(df, label, scheme)
+    negatives, positives = class_counts(df, label)
+    weighted = df.withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
     rows = assembler(features).transform(weighted).select(
         F.col(label).cast("double").alias(label), WEIGHT, FEATURES, *keep
     )
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if (negatives + positives) * len(features) * 8 < cores * SMALL_PARTITION_BYTES:
+        # Small enough for the planner to have packed it into a task or two.
+        rows = rows.repartition(cores)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield rows
