@@ -1,7 +1,7 @@
 """Global running sums without a global window.
 
-The rows are cut into value ranges by a quantile sketch. Each range is ordered in its own
-task, and the range totals (at most ``MAX_BUCKETS`` rows) give each range its offset. A table
+The rows are cut into value ranges. Each range is ordered in its own task, and the range
+totals (at most ``MAX_BUCKETS`` rows) give each range its offset. A table
 counted to fit one range is left in one piece.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
-FIRST_SKETCH = 200
+SAMPLE_PER_BUCKET = 1_000
 BUCKET = "_bucket"
 
 
@@ -34,23 +34,18 @@ def numeric_key(df: DataFrame, column: str) -> Column:
 def range_splits(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
     """Interior split points that cut the column into ranges of about ``rows_per_bucket`` rows.
 
-    None for a table that one task can order.
+    None for a table that one task can order. The points come from a sample, as in Spark's own
+    range partitioning: they decide how evenly the work is spread, never the result.
     """
     key = numeric_key(df, column)
-
-    def sketch(parts: int):
-        shares = F.expr("array(" + ",".join(f"{i / parts!r}D" for i in range(1, parts)) + ")")
-        return df.agg(F.count(key), F.approx_percentile(key, shares, 10 * parts)).first()
-
-    n, points = sketch(FIRST_SKETCH)
+    n = df.agg(F.count(key)).first()[0]
     if n <= rows_per_bucket:
         return []
     buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
-    if buckets > FIRST_SKETCH:
-        points = sketch(buckets)[1]
-    else:
-        points = [points[i * FIRST_SKETCH // buckets - 1] for i in range(1, buckets)]
-    return sorted(set(points))
+    sample = df.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / n), seed=1)
+    shares = F.expr("array(" + ",".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")")
+    points = sample.agg(F.approx_percentile(key, shares, 10 * buckets)).first()[0]
+    return sorted(set(points or []))
 
 
 def with_range_bucket(df: DataFrame, column: str, splits: Sequence[float]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Exact quantiles and order statistics without sorting or moving the rows.
 
-Spark's ``percentile`` keeps every distinct value of a column in one buffer, which is
-fine for a column of few distinct values and impossible for a large one. Columns whose
-estimated distinct count exceeds ``value_limit`` are therefore solved by narrowing:
+Spark's ``percentile`` sends every distinct value of a column from every task to one task.
+That suits a column of at most ``PERCENTILE_VALUES`` values, or of at most ``PERCENTILE_ROWS``
+rows. Otherwise up to ``value_limit`` values are counted by a shuffle on the value, and
+larger columns are solved by narrowing:
 
 1. a quantile sketch gives a value interval around the wanted ranks;
 2. one aggregate counts the rows below and inside each interval, which proves that the
@@ -24,9 +25,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import as_column
 
+PERCENTILE_VALUES = 1_000
+PERCENTILE_ROWS = 1_000_000
+# Values that the percentile buffers of one aggregate may hold together.
+BUFFERED_VALUES = 2_000_000
 VALUE_LIMIT = 100_000
-# Sketch accuracy for columns of fewer and of more values than LARGE_COLUMN.
-ACCURACY, LARGE_ACCURACY, LARGE_COLUMN = 1_000, 10_000, 50_000_000
+# Each round narrows an interval to about 4 / ACCURACY of its rows.
+ACCURACY = 1_000
 MAX_ROUNDS = 10
 
 
@@ -68,13 +73,12 @@ def _narrowed(df: DataFrame, exprs: Mapping[str, Column], wide: Sequence[_Interv
         shared.setdefault((iv.name, iv.low, iv.high), []).append(iv)
     aggs, shares = [], []
     for group in shared.values():
-        accuracy = LARGE_ACCURACY if group[0].inside > LARGE_COLUMN else ACCURACY
-        margin = 2.0 / accuracy
+        margin = 2.0 / ACCURACY
         wanted = []
         for iv in group:
             wanted += [(iv.first - iv.below) / iv.inside - margin, (iv.last - iv.below + 1) / iv.inside + margin]
         col = F.when(_inside(exprs[group[0].name], group[0]), exprs[group[0].name])
-        aggs.append(F.approx_percentile(col, [min(1.0, max(0.0, w)) for w in wanted], accuracy))
+        aggs.append(F.approx_percentile(col, [min(1.0, max(0.0, w)) for w in wanted], ACCURACY))
         shares.append(wanted)
     points = df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first()
 
@@ -185,13 +189,30 @@ def order_statistics(
     return found
 
 
+def _packed(sizes: Mapping[str, int]) -> list[list[str]]:
+    """Columns in groups whose values together fit one aggregate."""
+    groups: list[list[str]] = []
+    room = 0
+    for name, size in sizes.items():
+        if size > room:
+            groups.append([])
+            room = BUFFERED_VALUES
+        groups[-1].append(name)
+        room -= size
+    return groups
+
+
 def exact_quantiles(
     df: DataFrame,
     exprs: Mapping[str, Column] | Sequence[str],
     probabilities: Sequence[float],
     value_limit: int = VALUE_LIMIT,
+    percentile_rows: int = PERCENTILE_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each expression; None for a column without values."""
+    """Linearly interpolated quantiles of each expression; None for a column without values.
+
+    ``percentile_rows=0`` leaves only columns of few values to the built-in percentile.
+    """
     if not isinstance(exprs, Mapping):
         exprs = {c: as_column(c) for c in exprs}
     if not exprs:
@@ -200,15 +221,17 @@ def exact_quantiles(
     whole = _profile(df, cols)
     out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if whole[n][0] == 0}
 
-    few = [n for n in cols if whole[n][0] and whole[n][3] <= value_limit]
-    if few:
-        row = df.agg(
-            *[F.percentile(cols[n], F.array(*[F.lit(float(p)) for p in probabilities])).alias(f"q{i}")
-              for i, n in enumerate(few)]
-        ).first()
-        out.update({n: list(row[i]) for i, n in enumerate(few)})
-
-    many = [n for n in cols if whole[n][0] and whole[n][3] > value_limit]
+    few = {
+        n: min(rows, distinct)
+        for n, (rows, _, _, distinct) in whole.items()
+        if rows and (rows <= percentile_rows or distinct <= PERCENTILE_VALUES)
+    }
+    shares = F.array(*[F.lit(float(p)) for p in probabilities])
+    for group in _packed(few):
+        row = df.agg(*[F.percentile(cols[n], shares).alias(f"q{i}") for i, n in enumerate(group)]).first()
+        out.update({n: list(row[i]) for i, n in enumerate(group)})
+
+    many = [n for n in cols if whole[n][0] and n not in few]
     if many:
         spots = {n: [p * (whole[n][0] - 1) for p in probabilities] for n in many}
         ranks = {n: [r for s in spots[n] for r in (math.floor(s), math.ceil(s))] for n in many}

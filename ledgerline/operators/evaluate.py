@@ -29,15 +29,24 @@ def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = (
     )
 
 
+def score_splits(df: DataFrame, score: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+    return range_splits(df.select(F.col(score).cast("double").alias("threshold")), "threshold", rows_per_bucket)
+
+
 def score_curve(
-    df: DataFrame, score: str, label: str, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    score: str,
+    label: str,
+    by: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    splits: Sequence[float] | None = None,
 ) -> DataFrame:
     """The histogram with counts of positives and negatives at or above each score, and class totals."""
     return running_sums(
         score_histogram(df, score, label, by),
         "threshold",
         {"tp": "pos", "fp": "neg"},
-        range_splits(df.select(F.col(score).cast("double").alias("threshold")), "threshold", rows_per_bucket),
+        score_splits(df, score, rows_per_bucket) if splits is None else splits,
         descending=True,
         by=by,
         totals={"n_pos": "pos", "n_neg": "neg"},
@@ -134,11 +143,9 @@ def roc_points(
     ``drop_intermediate`` leaves out points on a straight line between their neighbours: those
     whose own step equals the following one.
     """
-    curve = score_curve(df, score, label, rows_per_bucket=rows_per_bucket)
+    splits = score_splits(df, score, rows_per_bucket)
+    curve = score_curve(df, score, label, splits=splits)
     if drop_intermediate:
-        splits = range_splits(
-            df.select(F.col(score).cast("double").alias("threshold")), "threshold", rows_per_bucket
-        )
         curve = _keep_corners(curve, splits)
     origin = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -148,8 +155,13 @@ def roc_points(
 
 def _keep_corners(curve: DataFrame, splits: Sequence[float]) -> DataFrame:
     """First, last and every point after which the step changes."""
-    cut = with_range_bucket(curve, "threshold", splits)
     step = F.struct("pos", "neg")
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    corner = first | F.col("_next").isNull() | (F.col("_next") != step)
+    if not splits:
+        following = F.lead(step).over(Window.orderBy(F.desc("threshold")))
+        return curve.withColumn("_next", following).filter(corner).select(*curve.columns)
+    cut = with_range_bucket(curve, "threshold", splits)
     # One row per range: the step that the next range (lower scores) starts with.
     heads = cut.groupBy(BUCKET).agg(F.max_by(step, "threshold").alias("head"))
     following = heads.select(BUCKET, F.lead("head").over(Window.orderBy(F.desc(BUCKET))).alias("_after"))
@@ -157,8 +169,7 @@ def _keep_corners(curve: DataFrame, splits: Sequence[float]) -> DataFrame:
     marked = cut.join(F.broadcast(following), BUCKET).withColumn(
         "_next", F.coalesce(F.lead(step).over(within), "_after")
     )
-    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-    return marked.filter(first | F.col("_next").isNull() | (F.col("_next") != step)).select(*curve.columns)
+    return marked.filter(corner).select(*curve.columns)
 
 
 def precision_recall_points(
@@ -244,9 +255,8 @@ def threshold_sweep(df: DataFrame, score: str, label: str, thresholds: Sequence[
         .agg(F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg"))
     )
     # One row per threshold from here on; gap 0 lies below all of them.
-    every = df.sparkSession.createDataFrame(
-        [(0, None), *[(i + 1, float(t)) for i, t in enumerate(cuts)]], "_gap int, threshold double"
-    )
+    listed = [F.lit(None).cast("double"), *[F.lit(float(t)) for t in cuts]]
+    every = df.sparkSession.range(1).select(F.posexplode(F.array(*listed)).alias("_gap", "threshold"))
     filled = every.join(F.broadcast(gaps), "_gap", "left").fillna(0, ["pos", "neg"])
     above = Window.orderBy(F.desc("_gap")).rowsBetween(Window.unboundedPreceding, 0)
     below = Window.orderBy("_gap").rowsBetween(Window.unboundedPreceding, -1)

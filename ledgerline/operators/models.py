@@ -287,8 +287,7 @@ def best_svm(
     tried = []
     for c in cs:
         model = fit_calibrated_svm(train, features, label, key, c, max_iter=max_iter)
-        auc = ranking_metrics(model.predict(val, [label]), SCORE, label).first()["auc_roc"]
-        tried.append((model, auc))
+        tried.append((model, validation_metrics(model, val, label)["auc_roc"]))
     return max(tried, key=lambda t: t[1])
 
 
@@ -342,9 +341,20 @@ class Fitted:
 RESULT_SCHEMA = "model string, type string, val_auc_roc double, val_auc_pr double, val_ks double, fit_time_s double"
 
 
+@contextmanager
+def scored_once(model, df: DataFrame, keep: Sequence[str]) -> Iterator[DataFrame]:
+    """``keep`` and the score, held on the executors so that several metrics share one scoring pass."""
+    scored = model.predict(df, keep) if hasattr(model, "predict") else predict(model, df, keep)
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield scored
+    finally:
+        scored.unpersist()
+
+
 def validation_metrics(model, val: DataFrame, label: str) -> dict:
-    scored = model.predict(val, [label]) if hasattr(model, "predict") else predict(model, val, [label])
-    return evaluate(scored, SCORE, label).first().asDict()
+    with scored_once(model, val, [label]) as scored:
+        return evaluate(scored, SCORE, label).first().asDict()
 
 
 def fit_and_score(
@@ -452,7 +462,7 @@ def ablation(
     rows = []
     for name, features in (("base", list(base)), ("base + extra", [*base, *extra])):
         model = fit_logistic(train, features, label, max_iter=max_iter)
-        m = ranking_metrics(predict(model, val, [label]), SCORE, label).first()
+        m = validation_metrics(model, val, label)
         rows.append((name, m["auc_roc"], m["auc_pr"]))
     full = [(*r, r[1] - rows[0][1]) for r in rows]
     return train.sparkSession.createDataFrame(

@@ -108,13 +108,14 @@ def split_summary(df: DataFrame, split: str, target: str, date_column: str) -> D
     )
 
 
-def stratified_sample(df: DataFrame, target_n: int, label: str, seed: int = 42) -> DataFrame:
+def stratified_sample(
+    df: DataFrame, target_n: int, label: str, seed: int = 42, classes: Sequence = (0, 1)
+) -> DataFrame:
     """About ``target_n`` rows with the class shares of ``label``; a smaller table is returned whole."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    total = sum(counts.values())
+    total = df.count()
     if total <= target_n:
         return df
-    return df.sampleBy(label, {k: target_n / total for k in counts if k is not None}, seed)
+    return df.sampleBy(label, {k: target_n / total for k in classes}, seed)
 
 
 def hash_sample(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:

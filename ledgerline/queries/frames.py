@@ -85,7 +85,7 @@ GROUP BY series_id, observation_date
 SCORED = """
 SELECT CASE WHEN cast(round(l_discount * 100) AS int) + l_orderkey % 10 > 12 THEN 1 ELSE 0 END AS label,
   l_discount * 10 AS coarse,
-  l_discount * 5 + l_quantity / 200e0 + l_extendedprice / 1e6 AS fine,
+  l_discount * 5 + l_quantity / 256e0 + l_extendedprice / 1048576e0 AS fine,
   l_returnflag AS part
 FROM {lineitem}
 """

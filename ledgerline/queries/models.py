@@ -94,7 +94,7 @@ def _(spark, sf):
 @query("calibrated_linear_svm", "L6")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    model, auc = md.best_svm(train, val, _NUMBERS, "label", "row_id", cs=(0.01, 1.0), max_iter=30)
+    model, auc = md.best_svm(train, val, _NUMBERS, "label", "row_id", cs=(0.01, 1.0), max_iter=15)
     return spark.createDataFrame([(model.c, float(auc))], "c double, val_auc_roc double")
 
 
