@@ -69,7 +69,7 @@ def skewness_corrected(c) -> Column:
     n = F.count(col).cast("double")
     return (
         F.when(n < 3, F.lit(None).cast("double"))
-        .when(F.var_pop(col) == 0, 0.0)
+        .when(F.min(col) == F.max(col), 0.0)
         .otherwise(F.skewness(col) * F.try_divide(F.sqrt(n * (n - 1)), n - 2))
     )
 
@@ -80,6 +80,6 @@ def kurtosis_corrected(c) -> Column:
     n = F.count(col).cast("double")
     return (
         F.when(n < 4, F.lit(None).cast("double"))
-        .when(F.var_pop(col) == 0, 0.0)
+        .when(F.min(col) == F.max(col), 0.0)
         .otherwise(F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(col) + 6))
     )

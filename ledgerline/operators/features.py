@@ -159,9 +159,10 @@ def above_zero(column: str) -> Column:
 
 
 def fit_scale(train: DataFrame, exprs: Mapping[str, Column]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation of each expression."""
+    """Mean and population standard deviation of each expression; a constant's deviation is exactly 0."""
+    deviation = lambda e: F.when(F.min(e) < F.max(e), F.stddev_pop(e)).otherwise(0.0)
     row = train.agg(
-        *[F.struct(F.avg(e), F.stddev_pop(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]
+        *[F.struct(F.avg(e), deviation(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]
     ).first()
     return {n: (row[i][0], row[i][1]) for i, n in enumerate(exprs) if row[i][0] is not None}
 

@@ -156,8 +156,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).first()
     stats = {c: tuple(first[i]) for i, c in enumerate(exprs) if first[i][0] is not None}
     outside = {
-        c: (exprs[c] < avg - 3 * sd) | (exprs[c] > avg + 3 * sd) if sd is not None else F.lit(False)
-        for c, (_, _, avg, sd) in stats.items()
+        c: (exprs[c] < avg - 3 * sd) | (exprs[c] > avg + 3 * sd) if low < high else F.lit(False)
+        for c, (low, high, avg, sd) in stats.items()
     }
     wide = df.agg(*[F.count_if(cond).alias(f"o{i}") for i, cond in enumerate(outside.values())])
     return _rows(
@@ -411,6 +411,13 @@ def rates_by_category(df: DataFrame, columns: Sequence[str], target: str, max_le
     return kept.orderBy("column", F.desc("rate"), "value")
 
 
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over the rows that have both; NULL if either is constant there (``corr`` would raise)."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y)))
+
+
 def correlations(
     df: DataFrame, columns: Sequence[str], with_column: str | None = None, native_pairs: int = NATIVE_PAIRS
 ) -> DataFrame:
@@ -421,7 +428,7 @@ def correlations(
         pairs = [(c, with_column) for c in columns if c != with_column]
     exprs = {c: nan_to_null(as_column(c).cast("double")) for c in {n for p in pairs for n in p}}
     if with_column is not None or len(pairs) <= native_pairs:
-        wide = df.agg(*[nan_to_null(F.corr(exprs[a], exprs[b])).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+        wide = df.agg(*[_correlation(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
         return _rows(
             wide,
             [
@@ -460,12 +467,14 @@ def _block_correlations(df: DataFrame, columns: list[str], exprs: dict[str, Colu
     )
     total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    spread = (n * F.col("sxx") - sx * sx) * (n * F.col("syy") - sy * sy)
+    spread_x, spread_y = n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
+    # A column that is constant over the pair's rows leaves rounding noise only.
+    varies = (spread_x > n * F.col("sxx") * 1e-12) & (spread_y > n * F.col("syy") * 1e-12)
     names = F.array(*[F.lit(c) for c in columns])
     return total.select(
         F.element_at(names, F.col("i") + 1).alias("a"),
         F.element_at(names, F.col("j") + 1).alias("b"),
-        F.when(spread > 0, (n * F.col("sxy") - sx * sy) / F.sqrt(spread)).alias("r"),
+        F.when(varies, F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(spread_x) * F.sqrt(spread_y))).alias("r"),
     )
 
 
