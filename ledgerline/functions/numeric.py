@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,12 @@ def quote_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def project(df: DataFrame, exprs: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
+    """The expressions computed once per row, as plain columns for the aggregates above them."""
+    names = {name: f"v{i}" for i, name in enumerate(exprs)}
+    return df.select(*[e.alias(names[n]) for n, e in exprs.items()]), {n: F.col(v) for n, v in names.items()}
+
+
 def nan_to_null(c) -> Column:
     col = as_column(c)
     return F.when(~F.isnan(col), col)

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import as_column
+from ledgerline.functions.numeric import as_column, project
 
 PERCENTILE_VALUES = 1_000
 PERCENTILE_ROWS = 1_000_000
@@ -161,7 +161,8 @@ def order_statistics(
     """The value at each 0-based rank of each expression in ascending order, NULLs left out."""
     if not any(ranks.values()):
         return {}
-    whole = profile or _profile(df, {n: exprs[n] for n in ranks})
+    df, exprs = project(df, {n: exprs[n] for n in ranks})
+    whole = profile or _profile(df, exprs)
     intervals = []
     for name, wanted in ranks.items():
         n, low, high, distinct = whole[name]
@@ -217,7 +218,7 @@ def exact_quantiles(
         exprs = {c: as_column(c) for c in exprs}
     if not exprs:
         return {}
-    cols = {name: e.cast("double") for name, e in exprs.items()}
+    df, cols = project(df, {name: e.cast("double") for name, e in exprs.items()})
     whole = _profile(df, cols)
     out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if whole[n][0] == 0}
 

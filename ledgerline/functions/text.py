@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import as_column, nan_to_null
+from ledgerline.functions.numeric import as_column
 
 
 def null_tokens_to_null(c, tokens: Sequence[str]) -> Column:
@@ -18,7 +18,7 @@ def null_tokens_to_null(c, tokens: Sequence[str]) -> Column:
 
 def to_double(c) -> Column:
     """Trimmed text to double; anything unreadable, and NaN, becomes NULL."""
-    return nan_to_null(F.trim(as_column(c).cast("string")).try_cast("double"))
+    return F.nullif(F.trim(as_column(c).cast("string")).try_cast("double"), F.lit(float("nan")))
 
 
 def leading_integer(c) -> Column:
@@ -28,7 +28,7 @@ def leading_integer(c) -> Column:
 
 def percent_to_double(c) -> Column:
     """``"12.5%"`` -> 12.5."""
-    return F.regexp_replace(as_column(c).cast("string"), "%", "").try_cast("double")
+    return F.replace(as_column(c).cast("string"), F.lit("%"), F.lit("")).try_cast("double")
 
 
 def lookup(c, mapping: Mapping, default=None) -> Column:

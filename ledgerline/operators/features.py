@@ -26,7 +26,7 @@ from ledgerline.functions import (
     quote_name,
     ratio_plus_one,
 )
-from ledgerline.functions.numeric import as_column
+from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.quantiles import exact_quantiles
 from ledgerline.functions.sizing import broadcast_if_small
 from ledgerline.operators.profile import value_counts_long
@@ -160,6 +160,7 @@ def above_zero(column: str) -> Column:
 
 def fit_scale(train: DataFrame, exprs: Mapping[str, Column]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation of each expression; a constant's deviation is exactly 0."""
+    train, exprs = project(train, exprs)
     deviation = lambda e: F.when(F.min(e) < F.max(e), F.stddev_pop(e)).otherwise(0.0)
     row = train.agg(
         *[F.struct(F.avg(e), deviation(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]

@@ -19,7 +19,7 @@ from ledgerline.functions import (
     skewness_corrected,
     to_double,
 )
-from ledgerline.functions.numeric import as_column
+from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.ordering import BUCKET, ROWS_PER_BUCKET, range_splits, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles
 
@@ -144,12 +144,12 @@ def _as_number(df: DataFrame, column: str) -> Column:
     """A numeric reading of a column; text may end in a percent sign."""
     if isinstance(df.schema[column].dataType, T.NumericType):
         return nan_to_null(F.col(quote_name(column)).cast("double"))
-    return to_double(F.regexp_replace(F.col(quote_name(column)).cast("string"), "%+$", ""))
+    return to_double(F.rtrim(F.col(quote_name(column)).cast("string"), F.lit("%")))
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, min, median, mean, max, outliers)``; outliers lie beyond mean +- 3 sample sd."""
-    exprs = {c: _as_number(df, c) for c in columns if c in df.columns}
+    df, exprs = project(df, {c: _as_number(df, c) for c in columns if c in df.columns})
     medians = exact_quantiles(df, exprs, [0.5])
     first = df.agg(
         *[F.struct(F.min(e), F.max(e), F.avg(e), F.stddev_samp(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]
@@ -225,7 +225,7 @@ def type_census(df: DataFrame) -> DataFrame:
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     leading = {
-        c: F.split(F.trim(F.regexp_replace(F.col(quote_name(c)), "%+$", "")), r"\s+")[0].try_cast("double") for c in text
+        c: F.split(F.trim(F.rtrim(F.col(quote_name(c)), F.lit("%"))), r"\s+")[0].try_cast("double") for c in text
     }
     wide = df.agg(
         F.count("*").alias("_n"),
@@ -269,7 +269,7 @@ def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample sd, min, quartiles, max, corrected skewness and kurtosis per column."""
-    exprs = {c: nan_to_null(as_column(c).cast("double")) for c in columns}
+    df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
     quartiles = exact_quantiles(df, exprs, [0.25, 0.5, 0.75])
     wide = df.agg(
         *[
@@ -300,7 +300,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
     """Values beyond 1.5 interquartile ranges, most affected column first; the share is over all rows."""
-    exprs = {c: nan_to_null(as_column(c).cast("double")) for c in columns}
+    df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
     quartiles = {c: q for c, q in exact_quantiles(df, exprs, [0.25, 0.75]).items() if q[0] is not None}
     fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in quartiles.items()}
     wide = df.agg(
@@ -364,6 +364,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], label: str | None = None, c
         value = nan_to_null(as_column(c).cast("double"))
         for name, cond in groups:
             exprs[c, name] = value if cond is None else F.when(cond, value)
+    df, exprs = project(df, exprs)
     quartiles = {k: q for k, q in exact_quantiles(df, exprs, [0.25, 0.5, 0.75]).items() if q[0] is not None}
     aggs = []
     for i, (k, (q1, _, q3)) in enumerate(quartiles.items()):
@@ -411,41 +412,44 @@ def rates_by_category(df: DataFrame, columns: Sequence[str], target: str, max_le
     return kept.orderBy("column", F.desc("rate"), "value")
 
 
-def _correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation over the rows that have both; NULL if either is constant there (``corr`` would raise)."""
-    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y)))
-
-
 def correlations(
     df: DataFrame, columns: Sequence[str], with_column: str | None = None, native_pairs: int = NATIVE_PAIRS
 ) -> DataFrame:
-    """``(a, b, r)``: Pearson correlation of each pair (or of each column with one), pairwise complete."""
+    """``(a, b, r)``: Pearson correlation of each pair (or of each column with one), pairwise complete.
+
+    NULL where either column is constant on the rows that have both.
+    """
     if with_column is None:
         pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     else:
         pairs = [(c, with_column) for c in columns if c != with_column]
-    exprs = {c: nan_to_null(as_column(c).cast("double")) for c in {n for p in pairs for n in p}}
-    if with_column is not None or len(pairs) <= native_pairs:
-        wide = df.agg(*[_correlation(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-        return _rows(
-            wide,
-            [
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-                for i, (a, b) in enumerate(pairs)
-            ],
-        )
-    return _block_correlations(df, list(columns), exprs)
+    wanted = list(dict.fromkeys(n for p in pairs for n in p))
+    df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in wanted})
+    facts = df.agg(
+        F.count("*"), *[F.struct(F.count(e), F.avg(e), F.min(e) < F.max(e)).alias(f"f{i}") for i, e in enumerate(exprs.values())]
+    ).first()
+    complete = all(f[0] == facts[0] and f[2] for f in facts[1:])
+    if not complete or len(pairs) > native_pairs:
+        return _block_correlations(df, exprs, [f[1] for f in facts[1:]], pairs)
+    # Without NULLs and constants the built-in correlation cannot divide by zero.
+    wide = df.agg(*[F.corr(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return _rows(
+        wide,
+        [
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(pairs)
+        ],
+    )
 
 
-def _block_correlations(df: DataFrame, columns: list[str], exprs: dict[str, Column]) -> DataFrame:
-    """All pairs at once for wide tables: each task sums cross products of its rows, then the sums add up."""
-    means = df.agg(*[F.avg(exprs[c]).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    centred = df.select(
-        *[(exprs[c] - F.lit(means[i] if means[i] is not None else 0.0)).alias(f"x{i}") for i, c in enumerate(columns)]
-    )
-    upper = np.triu_indices(len(columns), k=1)
+def _block_correlations(
+    df: DataFrame, exprs: dict[str, Column], means: Sequence[float | None], pairs: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Any number of pairs at once, NULLs allowed: each task sums cross products of its rows, then the sums add up."""
+    columns = list(exprs)
+    centred = df.select(*[(exprs[c] - F.lit(m or 0.0)).alias(c) for c, m in zip(columns, means)])
+    at = {c: i for i, c in enumerate(columns)}
+    upper = np.array([at[a] for a, _ in pairs]), np.array([at[b] for _, b in pairs])
 
     def cross_products(batches):
         sums = None
@@ -496,7 +500,7 @@ def correlated_pairs(df: DataFrame, columns: Sequence[str], limit: float = 0.8)
 
 def skew_screen(df: DataFrame, columns: Sequence[str], limit: float = 2.0, top: int = 8) -> DataFrame:
     """``(column, skew, log_skew)`` of the most skewed columns; the log takes non-negative values only."""
-    exprs = {c: nan_to_null(as_column(c).cast("double")) for c in columns}
+    df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
     wide = df.agg(
         *[
             F.struct(

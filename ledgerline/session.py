@@ -20,6 +20,9 @@ def local_session(app_name: str = "ledgerline", cores: str = "*", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Projections of many features compile to methods that HotSpot refuses to optimise
+        # beyond 8000 bytes of bytecode; past that, generated code in smaller pieces is faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
