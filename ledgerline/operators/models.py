@@ -76,21 +76,22 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 def training_rows(
     df: DataFrame, features: Sequence[str], label: str, scheme: str = "none", keep: Sequence[Column] = ()
 ) -> Iterator[DataFrame]:
-    """Label, weight and assembled vector, kept on the executors for the passes of one or many fits."""
-    negatives, positives = class_counts(df, label)
-    weighted = df.withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
-    rows = assembler(features).transform(weighted).select(
-        F.col(label).cast("double").alias(label), WEIGHT, FEATURES, *keep
-    )
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (negatives + positives) * len(features) * 8 < cores * SMALL_PARTITION_BYTES:
-        # Small enough for the planner to have packed it into a task or two.
-        rows = rows.repartition(cores)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    """Label, weight and assembled vector, kept on the executors for the passes of one or many fits.
+
+    The class counts are taken from the kept rows, so the input is computed once.
+    """
+    slim = assembler(features).transform(df).select(F.col(label).cast("double").alias(label), FEATURES, *keep)
+    kept = [slim.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        yield rows
+        negatives, positives = class_counts(kept[0], label)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if (negatives + positives) * len(features) * 8 < cores * SMALL_PARTITION_BYTES:
+            # Small enough for the planner to have packed it into a task or two.
+            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
+        yield kept[-1].withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
     finally:
-        rows.unpersist()
+        for rows in reversed(kept):
+            rows.unpersist()
 
 
 def _fit(train: DataFrame, features: Sequence[str], label: str, scheme: str, estimator: Estimator) -> PipelineModel:
