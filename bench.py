@@ -16,7 +16,7 @@ from ledgerline.session import local_session  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 # Fits take part once: their cost is the passes over the rows, not the first compilation.
 FITS = {"logistic_regression", "decision_tree", "boosted_trees"}
 

@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import as_column, project
+from ledgerline.functions.sizing import kept_if_small
 
 PERCENTILE_VALUES = 1_000
-PERCENTILE_ROWS = 1_000_000
+PERCENTILE_ROWS = 200_000
 # Values that the percentile buffers of one aggregate may hold together.
 BUFFERED_VALUES = 2_000_000
 VALUE_LIMIT = 100_000
@@ -220,6 +221,18 @@ def exact_quantiles(
         return {}
     df, cols = project(df, {name: e.cast("double") for name, e in exprs.items()})
     whole = _profile(df, cols)
+    with kept_if_small(df, max(w[0] for w in whole.values())) as held:
+        return _quantiles(held, cols, whole, probabilities, value_limit, percentile_rows)
+
+
+def _quantiles(
+    df: DataFrame,
+    cols: Mapping[str, Column],
+    whole: Mapping[str, tuple],
+    probabilities: Sequence[float],
+    value_limit: int,
+    percentile_rows: int,
+) -> dict[str, list[float | None]]:
     out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if whole[n][0] == 0}
 
     few = {

@@ -82,9 +82,9 @@ def join_with_fallback(
     if series is None:
         return fact.withColumn(output, F.lit(constant))
     monthly = series.select(month_of("observation_date").alias("_month"), F.col("value").alias("_value"))
-    latest = series.agg(F.max_by("value", "observation_date")).scalar()
+    latest = series.agg(F.max_by("value", "observation_date")).first()[0]
     joined = with_month(fact, date_column, "_month").join(broadcast_if_small(monthly), "_month", "left")
-    return joined.withColumn(output, F.coalesce("_value", latest)).drop("_month", "_value")
+    return joined.withColumn(output, F.coalesce("_value", F.lit(latest).cast("double"))).drop("_month", "_value")
 
 
 def pick_by_key(key: str, column_of_key: Mapping[str, str], default_column: str) -> Column:

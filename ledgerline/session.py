@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 
 def local_session(app_name: str = "ledgerline", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -35,15 +36,15 @@ def local_session(app_name: str = "ledgerline", cores: str = "*", shuffle_partit
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) is a fresh local folder made.
+    Only where the setting is absent (tests on one machine) is a local folder made, once per application.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set(CHECKPOINT_KEY, configured)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    if configured:
+        return configured
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="ledgerline-")
+    return _local_dirs[application]
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -11,10 +11,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline import functions as fn
+from ledgerline import session
 from ledgerline.config import EMP_LENGTH_ORDINALS
 from ledgerline.functions.ordering import BUCKET, range_splits, running_sums, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles, order_statistics
-from ledgerline.functions.sizing import broadcast_if_small
+from ledgerline.functions.sizing import broadcast_if_small, kept_if_small
 
 
 def one(df, expr):
@@ -136,3 +137,28 @@ def test_broadcast_only_below_the_bound(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "ResolvedHint" in plan(broadcast_if_small(small, 10)) or "broadcast" in plan(broadcast_if_small(small, 10)).lower()
     assert "broadcast" not in plan(broadcast_if_small(large, 10)).lower()
+
+
+def test_files_go_to_the_folder_the_cluster_names(spark, monkeypatch):
+    local = session.shared_dir(spark)
+    assert local == session.shared_dir(spark)
+
+    class Conf:
+        def get(self, key, default=None):
+            return "hdfs://shared/work" if key == "spark.checkpoint.dir" else default
+
+    class Cluster:
+        conf = Conf()
+
+    assert session.shared_dir(Cluster()) == "hdfs://shared/work"
+    assert session.shared_path(Cluster(), "x").startswith("hdfs://shared/work/x-")
+
+
+def test_small_tables_are_spread_and_large_ones_left(spark, monkeypatch):
+    df = spark.range(100)
+    with kept_if_small(df, 100) as held:
+        assert held.is_cached and held.count() == 100
+    assert not held.is_cached
+    monkeypatch.setattr("ledgerline.functions.sizing.SMALL_TABLE_BYTES", 10)
+    with kept_if_small(df, 100) as held:
+        assert held is df

@@ -124,21 +124,22 @@ def test_features_and_selection(spark, fitted, monkeypatch):
     assert md.validation_metrics(md.best_tuned(models).model, test, cfg.TARGET)["auc_roc"] > 0.5
 
 
-def test_batch_and_stream_scores_agree(spark, fitted, tmp_path):
+def test_batch_and_stream_scores_agree(spark, fitted, tables, tmp_path):
+    unemployment = tables["bronze_macro"].filter("series_id = 'UNRATE'")
     features, train, _, _ = fitted
     model = md.fit_logistic(train, features.feature_names, cfg.TARGET, max_iter=20)
     columns = list(cfg.SCENARIOS["Safe (A2, FICO 760)"])
     profiles = [(name, *[s[c] for c in columns]) for name, s in cfg.SCENARIOS.items()]
     broken = ("Broken", *[{**cfg.SCENARIOS["Safe (A2, FICO 760)"], "term": 12}[c] for c in columns])
     applicants = spark.createDataFrame([*profiles, broken], ["name", *columns])
-    batch = {r["name"]: r for r in score_batch(applicants, "name", features, model, "2017-06", "Logit").collect()}
+    batch = {r["name"]: r for r in score_batch(applicants, "name", features, model, "2017-06", "Logit", unemployment).collect()}
     assert set(batch) == set(cfg.SCENARIOS)
     assert batch["Safe (A2, FICO 760)"]["default_probability"] < batch["Risky (E4, FICO 620)"]["default_probability"]
     assert [r["error"] for r in rejected(applicants, "name").collect()] == ["term must be 36 or 60 months."]
 
     applicants.write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema(applicants.schema).json(str(tmp_path / "in"))
-    args = (stream, "name", features, model, "2017-06", "Logit", str(tmp_path / "out"), str(tmp_path / "state"))
+    args = (stream, "name", features, model, "2017-06", "Logit", str(tmp_path / "out"), str(tmp_path / "state"), unemployment)
     for _ in range(2):  # a restart scores nothing twice
         score_stream(*args).awaitTermination(120)
     streamed = {r["name"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
