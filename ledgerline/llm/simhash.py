@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.components import Forest, components
 from ledgerline.llm.store import shuffle_partitions, stored
-from ledgerline.llm.text import slices, text_bytes, word_bounds
+from ledgerline.llm.text import joined_words, slices, text_bytes, word_bounds
 
 SHINGLE = 4
 BITS = 64
@@ -54,13 +54,8 @@ def _fingerprints(column, shingle: int) -> np.ndarray:
         return out.view(np.int64)
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
-    # Words with one space after each, in one buffer.
-    room = np.concatenate([[0], np.cumsum(ends - starts + 1)])
-    target = np.full(int(room[-1]), 32, np.uint8)
-    length = ends - starts
-    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-    target[np.repeat(room[:-1], length) + inside] = lower[data[np.repeat(starts, length) + inside]]
-    flat = target.tobytes()
+    joined, room = joined_words(lower[data], starts, ends)
+    flat = joined.tobytes()
     counts = np.diff(first)
     n = np.where(counts > 0, np.maximum(counts - shingle + 1, 1), 0)
     at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[:-1], n)

@@ -52,6 +52,16 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' bytes with one space after each, and the n+1 places where they begin."""
+    room = np.concatenate([[0], np.cumsum(ends - starts + 1)]).astype(np.int64)
+    out = np.full(int(room[-1]), 32, np.uint8)
+    length = ends - starts
+    inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    out[np.repeat(room[:-1], length) + inside] = data[np.repeat(starts, length) + inside]
+    return out, room
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit values that spreads every bit (finalizer of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
