@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import language, mixing, packing, repeats, sharding, simhash
+from ledgerline.llm import language, mixing, packing, repeats, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,6 +71,21 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+    base = F.filter("secrets", lambda s: s["order"] < 3)
+    count = {
+        f"n_{r.kind}": F.size(F.filter("secrets", lambda s: s["order"] == i)).cast("long")
+        for i, r in enumerate(secrets.RULES) if r.base
+    }
+    return found.select(
+        "doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
