@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import language, mixing, packing, repeats, secrets, sharding, simhash
+from ledgerline.llm import cover_tree, language, mixing, packing, quantised, repeats, secret_scan, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@query
+def op1_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
@@ -74,18 +79,23 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs)
+    found = secret_scan.scan(docs)
     base = F.filter("secrets", lambda s: s["order"] < 3)
     count = {
         f"n_{r.kind}": F.size(F.filter("secrets", lambda s: s["order"] == i)).cast("long")
-        for i, r in enumerate(secrets.RULES) if r.base
+        for i, r in enumerate(secret_scan.RULES) if r.base
     }
     return found.select(
-        "doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(secrets.listed(base), 256).alias("base_sha256"),
-        secrets.listed(F.col("secrets")).alias("spans"),
+        "doc_id", *[c.alias(n) for n, c in count.items()], F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("secrets")).alias("spans"),
     )
 
 
+@query
+def op9_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
