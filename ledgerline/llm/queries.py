@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import cover_tree, language, mixing, packing, quantised, repeats, secret_scan, sharding, simhash
+from ledgerline.llm import cover_tree, language, mixing, packing, quantised, repeats, secret_scan, sharding, simhash, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,6 +70,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = repeats.remove_repeats(table(spark, sf_dir, "documents"))

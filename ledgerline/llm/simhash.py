@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import Forest, components
@@ -195,16 +195,20 @@ def near_links(prints: DataFrame, budget: int = BUDGET, agree: int = 1, chunk: i
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, budget: int = BUDGET, agree: int = 1
+    docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, budget: int = BUDGET, agree: int = 1,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: its key, ``fingerprint`` (long) and ``component_id``, the smallest key reachable by links.
+    """Per row: its key, ``fingerprint`` (long), ``component`` (its smallest fingerprint), ``component_id``, the
+    smallest key reachable by links, and the columns named in ``carry``.
 
     Rows link if their fingerprints differ in ``budget`` bits or fewer; rows of one fingerprint are one
     class, so copies are never expanded into pairs. Null and empty texts have fingerprint zero and link
     like any other. Rows with a null key take part; a component of null keys only has a null id.
     Repeated rows stay repeated. Other columns are ignored; an empty input gives no rows.
     """
-    prints = stored(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", shingle).drop("text"), "prints")
+    carried = [F.col(c).alias(f"_carry_{c}") for c in carry]
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *carried)
+    prints = stored(fingerprints(rows, "text", shingle).drop("text"), "prints")
     classes = prints.groupBy("fingerprint").agg(F.min("key").alias("least"))
     near = components(near_links(classes.select(F.col("fingerprint").alias("value")), budget, agree))
     members = classes.join(near, classes.fingerprint == near.node, "left").select(
@@ -212,7 +216,16 @@ def near_duplicates(
     )
     members = stored(members, "classes")
     ids = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    return (
-        prints.join(members.join(ids, "component").select("fingerprint", "component_id"), "fingerprint")
-        .select(F.col("key").alias(key), "fingerprint", "component_id")
+    labels = members.join(ids, "component").select("fingerprint", "component", "component_id")
+    return prints.join(labels, "fingerprint").select(
+        F.col("key").alias(key), "fingerprint", "component", "component_id", *[F.col(f"_carry_{c}").alias(c) for c in carry]
     )
+
+
+def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest key, of equal ones any."""
+    others = tuple(c for c in docs.columns if c != key)
+    found = near_duplicates(docs, text, key, carry=others, **options).where(F.col(key).eqNullSafe(F.col("component_id")))
+    # Only rows that share the smallest key of their component meet here.
+    nth = F.row_number().over(Window.partitionBy("component").orderBy("fingerprint", *others))
+    return found.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
