@@ -93,11 +93,16 @@ def remove_repeats(
         import pyarrow as pa
 
         parts = [_restored(x.as_py()) for x in table.column("hashes")]
-        everything = np.sort(np.concatenate(parts))
-        shared = everything[1:][everything[1:] == everything[:-1]]
+        everything = np.concatenate(parts)
+        order = np.argsort(everything, kind="stable")
+        equal = everything[order[1:]] == everything[order[:-1]]
+        shared = np.zeros(len(everything), bool)
+        shared[order[1:][equal]] = True
+        shared[order[:-1][equal]] = True
+        ends = np.cumsum([len(p) for p in parts])
         twice = [
-            np.packbits(np.unpackbits(np.frombuffer(t.as_py(), np.uint8), count=len(p)).astype(bool) | np.isin(p, shared)).tobytes()
-            for t, p in zip(table.column("twice"), parts)
+            np.packbits(np.unpackbits(np.frombuffer(t.as_py(), np.uint8), count=len(p)).astype(bool) | shared[end - len(p) : end]).tobytes()
+            for t, p, end in zip(table.column("twice"), parts, ends)
         ]
         return pa.table(
             {"block": table.column("asker"), "owner": table.column("owner"), "n": pa.array(map(len, parts), pa.int64()), "twice": pa.array(twice, pa.binary())}
