@@ -16,7 +16,7 @@ from difflib import SequenceMatcher
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.store import join_small
+from ledgerline.llm.store import join_small, stored
 
 PAGES_PER_HOST = 12
 CONSTANT_PAGES = 4
@@ -223,10 +223,10 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
 
         ordered = frame.sort_values("nth")["page"].tolist()
         wrapper = infer(ordered)
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "aligned": [len(set(ordered))]})
+        return pd.DataFrame({"_host": [frame["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "aligned": [len(set(ordered))]})
 
-    learned = chosen.groupBy("host").applyInPandas(learn, "host string, wrapper string, aligned int")
-    known = join_small(pages.withColumn("_host", host), learned.withColumnRenamed("host", "_host"), ["_host"], "left")
+    learned = stored(chosen.groupBy("host").applyInPandas(learn, "_host string, wrapper string, aligned int"), "wrappers")
+    known = join_small(pages.withColumn("_host", host), learned, ["_host"], "left")
 
     def apply(batches):
         compiled: dict[str, tuple] = {}
