@@ -22,7 +22,7 @@ PIECE_BYTES = 2 << 20
 SCRIPT_SHARE = 0.01
 SMOOTHING = 0.5
 RULED_OUT = np.float32(-60.0)
-HELD_SCORES = 24_000_000
+HELD_SCORES = 8_000_000
 # First and last code point of the letters of a script (fixed values of the Unicode blocks).
 SCRIPTS = {
     "latin": ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F), (0x1E00, 0x1EFF)),
@@ -204,6 +204,9 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", switch: f
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     added += [T.StructField("spans", T.ArrayType(span))] if spans else []
     schema = T.StructType([*docs.schema.fields, *added])
+    if not model.languages:
+        nothing = {"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)} | ({"spans": F.array().cast(T.ArrayType(span))} if spans else {})
+        return docs.withColumns(nothing)
     table = _script_table()
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.scores, model.scripts))  # BUCKETS x languages
 

@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
     """
 
     def cut(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyspark import TaskContext
 
         encode = encoder(path)
@@ -61,23 +61,29 @@ def pieces(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
         for batch in batches:
             known: dict[str, bytes] = {}  # copies in one batch are encoded once
             for low in range(0, len(batch), 500):
-                some = batch.iloc[low : low + 500]
+                some = batch.slice(low, 500)
                 rows = []
-                for k, own in zip(some["key"], some["text"].fillna("")):
+                for row, own in enumerate(some.column(1).to_pylist()):
+                    own = own or ""
                     if own not in known:
                         known[own] = encode(own) + end
                     ids = known[own]
                     n = len(ids) // 4
                     starts = [0, *range(n % capacity or capacity, n, capacity)]
                     for i, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
-                        own = ids[4 * a : 4 * b]
-                        rows.append((k, i, a, b - a, zlib.crc32(own), own, part, int(seen[b - a])))
+                        own_ids = ids[4 * a : 4 * b]
+                        rows.append((row, i, a, b - a, zlib.crc32(own_ids), own_ids, part, int(seen[b - a])))
                         seen[b - a] += 1
-                yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32", "ids", "part", "nth"]).astype({"key": some["key"].dtype})
+                columns = list(zip(*rows))
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(columns[0])), *[pa.array(c, t) for c, t in zip(columns[1:], kinds)]],
+                    ["key", "piece", "start", "length", "ids_crc32", "ids", "part", "nth"],
+                )
 
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInPandas(
+    return docs.mapInArrow(
         cut, f"key {kind}, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
     )
 
@@ -204,22 +210,25 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = cut.sparkSession.sparkContext.broadcast({k: np.array(v, np.int64) for k, v in slots.items()})
 
     def place(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            rank = (batch["base"] + batch["nth"]).to_numpy()
-            length = batch["length"].to_numpy()
-            ids, at = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            rank = column("base").to_numpy() + column("nth").to_numpy()
+            length = column("length").to_numpy()
+            ids, at = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for one in np.unique(length):
                 mine = np.flatnonzero(length == one)
                 first, sequences, starts = table.value[int(one)].T
                 slot = np.searchsorted(first, rank[mine], "right") - 1
                 ids[mine] = sequences[slot] + rank[mine] - first[slot]
                 at[mine] = starts[slot]
-            yield batch.drop(columns=["part", "nth", "base"]).assign(sequence_id=ids, offset=at)
+            yield pa.RecordBatch.from_arrays([*[column(n) for n in names], pa.array(ids), pa.array(at)], [*names, "sequence_id", "offset"])
 
     names = [c for c in cut.columns if c not in ("part", "nth")]
     schema = ", ".join(f"{c} {cut.schema[c].dataType.simpleString()}" for c in names)
     ranked = cut.join(offsets, ["part", "length"]).select(*cut.columns, "base")
-    return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, end_id: int = 0, keep_ids: bool = True) -> DataFrame:

@@ -27,22 +27,25 @@ SEED = 5
 
 
 def learn(sample: np.ndarray, rotations: int = ROTATIONS, bits: int = CODE_BITS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """Mean of the unit vectors and ``rotations`` projections (dims x bits) with small quantisation error.
+    """``rotations`` origins and projections (dims x bits) of the unit vectors with small quantisation error.
+
+    The first origin is the mean, the next zero, and so on: where few vectors teach, the mean lies among
+    them and parts even the nearest, which zero does not.
 
     Principal axes, then alternating: codes are the signs of the rotated data, the rotation is the
     orthogonal one nearest to the codes. More bits than dimensions repeat the axes under new rotations.
     """
-    mean = sample.mean(0)
-    centred = sample - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
-    axes = axes[:, ::-1]
     rng = np.random.default_rng(seed)
-    out = []
-    for _ in range(rotations):
+    origins, out = [], []
+    for number in range(rotations):
+        origins.append(sample.mean(0) if number % 2 == 0 else np.zeros(sample.shape[1]))
+        moved = sample - origins[-1]
+        _, axes = np.linalg.eigh(moved.T @ moved)
+        axes = axes[:, ::-1]
         columns = []
         while sum(c.shape[1] for c in columns) < bits:
             base = axes[:, : min(axes.shape[1], bits - sum(c.shape[1] for c in columns))]
-            data = centred @ base
+            data = moved @ base
             turn = np.linalg.qr(rng.normal(size=(base.shape[1], base.shape[1])))[0]
             for _ in range(ITERATIONS):
                 signs = np.where(data @ turn >= 0, 1.0, -1.0)
@@ -50,7 +53,7 @@ def learn(sample: np.ndarray, rotations: int = ROTATIONS, bits: int = CODE_BITS,
                 turn = u @ v
             columns.append(base @ turn)
         out.append(np.concatenate(columns, 1))
-    return mean, np.stack(out)
+    return np.stack(origins), np.stack(out)
 
 
 def near_duplicates(
@@ -92,10 +95,10 @@ def near_duplicates(
     def encode(batches):
         for batch in batches:
             for dims, own in batch.groupby("dims"):
-                mean, turns = shared.value[dims]
+                origins, turns = shared.value[dims]
                 matrix = _unit(own["vector"])
                 for i, turn in enumerate(turns):
-                    bits = np.packbits((matrix - mean) @ turn >= 0, axis=1).view(">u8").ravel().astype(np.uint64)
+                    bits = np.packbits((matrix - origins[i]) @ turn >= 0, axis=1).view(">u8").ravel().astype(np.uint64)
                     yield own[["id", "dims"]].assign(turn=i, code=bits.view(np.int64))
 
     if not taught:

@@ -180,16 +180,16 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q}
     wanted = sorted({g for q in indexed.values() for alternatives in q for s in alternatives for g in s})
-    rows = docs.drop("secrets").withColumn("text_key", F.xxhash64(text))
+    rows = docs.drop("secrets").withColumn("_text_key", F.xxhash64(text))
     if indexed:
         found = stored(candidates(postings(docs, wanted, text), indexed, wanted), "candidates")
-        rows = join_small(rows, found, ["text_key"], "left")
+        rows = join_small(rows, found.withColumnsRenamed({"text_key": "_text_key", "kinds": "_kinds"}), ["_text_key"], "left")
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.from_json(F.lit("[]"), "array<struct<start:int,order:int,end:int>>")
     found = []
     for i, rule in enumerate(rules):
         if rule.kind in indexed:
-            ask = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) & F.rlike(whole, F.lit(rule.pattern))
+            ask = F.coalesce(F.array_contains("_kinds", rule.kind), F.lit(False)) & F.rlike(whole, F.lit(rule.pattern))
         else:
             ask = F.rlike(whole, F.lit(rule.pattern))
         found.append(F.when(ask, _spans(rule, i, whole)).otherwise(none))

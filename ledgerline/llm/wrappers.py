@@ -212,6 +212,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
     from pyspark.sql import types as T
 
     pages = pages.drop("text", "n_chars")
+    names = pages.columns
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     order = Window.partitionBy("host").orderBy(F.xxhash64("page"), "page")
@@ -223,31 +224,35 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
 
         ordered = frame.sort_values("nth")["page"].tolist()
         wrapper = infer(ordered)
-        return pd.DataFrame({"_host": [frame["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "aligned": [len(set(ordered))]})
+        return pd.DataFrame({"_host": [frame["host"].iloc[0]], "_wrapper": [json.dumps(wrapper)], "_aligned": [len(set(ordered))]})
 
-    learned = stored(chosen.groupBy("host").applyInPandas(learn, "_host string, wrapper string, aligned int"), "wrappers")
+    learned = stored(chosen.groupBy("host").applyInPandas(learn, "_host string, _wrapper string, _aligned int"), "wrappers")
     known = join_small(pages.withColumn("_host", host), learned, ["_host"], "left")
 
     def apply(batches):
+        import pyarrow as pa
+
         compiled: dict[str, tuple] = {}
         for batch in batches:
+            columns = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in (html, "_host", "_wrapper", "_aligned")}
             texts = []
-            for page, host_name, raw, aligned in zip(batch[html], batch["_host"], batch["wrapper"], batch["aligned"]):
-                tree = parse(page if isinstance(page, str) else "")
+            for page, host_name, raw, aligned in zip(*columns.values()):
+                tree = parse(page or "")
                 if host_name not in compiled:
-                    wrapper = json.loads(raw) if isinstance(raw, str) else infer([])
+                    wrapper = json.loads(raw) if raw else infer([])
                     codes: dict[str, str] = {}
                     compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, _roles(wrapper, aligned))
                 wrapper, pattern, codes, roles = compiled[host_name]
                 if not pattern.fullmatch(stream(tree, codes)):
                     roles = _roles(_aligned(wrapper, generalised(tree)), aligned)
                 texts.append(main_text(tree, *roles))
-            yield batch.drop(columns=["_host", "wrapper", "aligned"]).assign(text=texts, n_chars=[len(t) for t in texts])
+            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema.names)
 
-    return known.mapInPandas(apply, schema)
+    return known.mapInArrow(apply, schema)
 
 
 def _roles(wrapper: list, aligned) -> tuple[str | None, frozenset[str]]:
     """The container, and the host's own texts if enough different pages were aligned to tell."""
-    enough = aligned == aligned and aligned is not None and aligned >= CONSTANT_PAGES
+    enough = aligned is not None and aligned >= CONSTANT_PAGES
     return container(wrapper), frozenset(constants(wrapper)) if enough else frozenset()
