@@ -45,7 +45,8 @@ def range_splits(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUC
     sample = df.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / n), seed=1)
     shares = F.expr("array(" + ",".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")")
     points = sample.agg(F.approx_percentile(key, shares, 10 * buckets)).first()[0]
-    return sorted(set(points or []))
+    # Infinite and NaN values stand at the ends anyway; as cut points they would part nothing.
+    return sorted({p for p in points or [] if math.isfinite(p)})
 
 
 def with_range_bucket(df: DataFrame, column: str, splits: Sequence[float]) -> DataFrame:
@@ -54,7 +55,8 @@ def with_range_bucket(df: DataFrame, column: str, splits: Sequence[float]) -> Da
         return df.withColumn(BUCKET, F.lit(0.0))
     bounds = [-math.inf, *splits, math.inf]
     marked = df.withColumn("_key", numeric_key(df, column))
-    return Bucketizer(splits=bounds, inputCol="_key", outputCol=BUCKET).transform(marked).drop("_key")
+    # NaN, which sorts last, gets a range of its own after the others.
+    return Bucketizer(splits=bounds, inputCol="_key", outputCol=BUCKET, handleInvalid="keep").transform(marked).drop("_key")
 
 
 def running_sums(

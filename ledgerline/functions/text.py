@@ -16,9 +16,19 @@ def null_tokens_to_null(c, tokens: Sequence[str]) -> Column:
     return F.when(~col.isin(*tokens), col)
 
 
+# A plain or scientific number, or infinity; no type suffix such as the d of 12d (fixed value).
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))$"
+
+
+def numeric_text(c: Column) -> Column:
+    """Trimmed text that is a number as a double, else NULL."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def to_double(c) -> Column:
     """Trimmed text to double; anything unreadable, and NaN, becomes NULL."""
-    return F.nullif(F.trim(as_column(c).cast("string")).try_cast("double"), F.lit(float("nan")))
+    return numeric_text(as_column(c))
 
 
 def leading_integer(c) -> Column:
@@ -28,7 +38,7 @@ def leading_integer(c) -> Column:
 
 def percent_to_double(c) -> Column:
     """``"12.5%"`` -> 12.5."""
-    return F.replace(as_column(c).cast("string"), F.lit("%"), F.lit("")).try_cast("double")
+    return numeric_text(F.replace(as_column(c).cast("string"), F.lit("%"), F.lit("")))
 
 
 def lookup(c, mapping: Mapping, default=None) -> Column:

@@ -122,6 +122,8 @@ def null_impossible(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
 def count_impossible(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """``(column, fixes)``: how many values ``null_impossible`` sets to NULL."""
     present = _rules_present(df, rules)
+    if not present:
+        return df.sparkSession.createDataFrame([], "column string, fixes bigint")
     wide = df.agg(*[F.count_if(cond).alias(c) for c, cond in present.items()])
     return wide.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(quote_name(c)).alias("fixes")) for c in present]))

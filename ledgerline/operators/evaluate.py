@@ -19,11 +19,16 @@ from ledgerline.operators.ranking import stack_tables
 COUNTS = ("tp", "fp", "fn", "tn")
 
 
+def scored(df: DataFrame, score: str, label: str) -> DataFrame:
+    """The rows that count: with a label, and a score that is neither NULL nor NaN. Infinite scores count."""
+    return df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
+
+
 def score_histogram(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., threshold, pos, neg)``: one row per distinct score."""
     y = F.col(label).cast("bigint")
     return (
-        df.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
+        scored(df, score, label)
         .groupBy(*by, F.col(score).cast("double").alias("threshold"))
         .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     )
@@ -99,8 +104,7 @@ def ranking_metrics(
 def confusion_at(df: DataFrame, score: str, label: str, threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     """``(tp, fp, fn, tn)`` with a positive prediction at ``score >= threshold``."""
     flagged, y = F.col(score) >= threshold, F.col(label) == 1
-    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    return known.groupBy(*by).agg(
+    return scored(df, score, label).groupBy(*by).agg(
         F.count_if(flagged & y).alias("tp"),
         F.count_if(flagged & ~y).alias("fp"),
         F.count_if(~flagged & y).alias("fn"),
@@ -185,7 +189,7 @@ def precision_recall_points(
         prior.alias("prior"),
     )
     y = F.col(label).cast("double")
-    end = df.filter(F.col(score).isNotNull()).agg(F.avg(y).alias("prior")).select(
+    end = scored(df, score, label).agg(F.avg(y).alias("prior")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), "prior"
     )
     return points.unionByName(end)
@@ -245,7 +249,7 @@ def threshold_sweep(df: DataFrame, score: str, label: str, thresholds: Sequence[
     Each row falls between two thresholds; the counts per gap are then summed from above.
     """
     cuts = sorted(set(thresholds))
-    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+    known = scored(df, score, label).select(
         F.col(score).cast("double").alias("_s"), F.col(label).cast("bigint").alias("_y")
     )
     gaps = (

@@ -17,6 +17,7 @@ from ledgerline.functions import (
     nan_to_null,
     quote_name,
     skewness_corrected,
+    numeric_text,
     to_double,
 )
 from ledgerline.functions.numeric import as_column, project
@@ -32,6 +33,11 @@ def _rows(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
+def _nothing(df: DataFrame, schema: str) -> DataFrame:
+    """No column qualifies: no row."""
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
@@ -126,6 +132,8 @@ def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 def consistency_report(df: DataFrame, rules: Sequence[tuple[str, Sequence[str], str]]) -> DataFrame:
     """``(rule, violations, status)`` of the rules whose columns are all present."""
     usable = [(label, cond) for label, needed, cond in rules if set(needed) <= set(df.columns)]
+    if not usable:
+        return _nothing(df, "rule string, violations bigint, status string")
     wide = df.agg(*[F.count_if(F.expr(cond)).alias(f"_r{i}") for i, (_, cond) in enumerate(usable)])
     return _rows(
         wide,
@@ -149,12 +157,17 @@ def _as_number(df: DataFrame, column: str) -> Column:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, min, median, mean, max, outliers)``; outliers lie beyond mean +- 3 sample sd."""
+    empty = _nothing(df, "column string, min double, median double, mean double, max double, outliers bigint")
     df, exprs = project(df, {c: _as_number(df, c) for c in columns if c in df.columns})
+    if not exprs:
+        return empty
     medians = exact_quantiles(df, exprs, [0.5])
     first = df.agg(
         *[F.struct(F.min(e), F.max(e), F.avg(e), F.stddev_samp(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]
     ).first()
     stats = {c: tuple(first[i]) for i, c in enumerate(exprs) if first[i][0] is not None}
+    if not stats:
+        return empty
     outside = {
         c: (exprs[c] < avg - 3 * sd) | (exprs[c] > avg + 3 * sd) if low < high else F.lit(False)
         for c, (low, high, avg, sd) in stats.items()
@@ -225,7 +238,7 @@ def type_census(df: DataFrame) -> DataFrame:
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     leading = {
-        c: F.split(F.trim(F.rtrim(F.col(quote_name(c)), F.lit("%"))), r"\s+")[0].try_cast("double") for c in text
+        c: numeric_text(F.split(F.trim(F.rtrim(F.col(quote_name(c)), F.lit("%"))), r"\s+")[0]) for c in text
     }
     wide = df.agg(
         F.count("*").alias("_n"),
@@ -300,8 +313,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
     """Values beyond 1.5 interquartile ranges, most affected column first; the share is over all rows."""
+    empty = _nothing(df, "column string, outliers bigint, pct double, min double, max double, q1 double, q3 double")
     df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
-    quartiles = {c: q for c, q in exact_quantiles(df, exprs, [0.25, 0.75]).items() if q[0] is not None}
+    quartiles = {c: q for c, q in exact_quantiles(df, exprs, [0.25, 0.75]).items() if q[0] is not None} if exprs else {}
+    if not quartiles:
+        return empty
     fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in quartiles.items()}
     wide = df.agg(
         F.count("*").alias("_n"),
@@ -364,8 +380,15 @@ def box_stats(df: DataFrame, columns: Sequence[str], label: str | None = None, c
         value = nan_to_null(as_column(c).cast("double"))
         for name, cond in groups:
             exprs[c, name] = value if cond is None else F.when(cond, value)
+    empty = _nothing(
+        df,
+        "column string, class string, n bigint, q1 double, median double, q3 double, whisker_low double, "
+        "whisker_high double, fliers bigint",
+    )
     df, exprs = project(df, exprs)
-    quartiles = {k: q for k, q in exact_quantiles(df, exprs, [0.25, 0.5, 0.75]).items() if q[0] is not None}
+    quartiles = {k: q for k, q in exact_quantiles(df, exprs, [0.25, 0.5, 0.75]).items() if q[0] is not None} if exprs else {}
+    if not quartiles:
+        return empty
     aggs = []
     for i, (k, (q1, _, q3)) in enumerate(quartiles.items()):
         low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)

@@ -37,9 +37,9 @@ def _percent_rank() -> Column:
 
 
 def with_percent_rank(df: DataFrame, date_column: str, output: str) -> DataFrame:
-    """``percent_rank() over (order by date)`` from the date histogram."""
+    """``percent_rank() over (order by date)`` of the dated rows, from the date histogram; NULL without a date."""
     ranks = date_histogram(df, date_column).select(F.col("date").alias(date_column), _percent_rank().alias(output))
-    return df.join(broadcast_if_small(ranks), date_column)
+    return df.join(broadcast_if_small(ranks), date_column, "left")
 
 
 def rank_cutoff(df: DataFrame, date_column: str, share: float):
@@ -109,13 +109,18 @@ def split_summary(df: DataFrame, split: str, target: str, date_column: str) -> D
 
 
 def stratified_sample(
-    df: DataFrame, target_n: int, label: str, seed: int = 42, classes: Sequence = (0, 1)
+    df: DataFrame, target_n: int, label: str, seed: int = 42
 ) -> DataFrame:
-    """About ``target_n`` rows with the class shares of ``label``; a smaller table is returned whole."""
+    """About ``target_n`` rows with the class shares of ``label``; a smaller table is returned whole.
+
+    Every class is drawn with the same chance, rows without a label like a class of their own.
+    """
+    if label not in df.columns:
+        raise ValueError(f"no column {label}")
     total = df.count()
     if total <= target_n:
         return df
-    return df.sampleBy(label, {k: target_n / total for k in classes}, seed)
+    return df.filter(F.rand(seed) < target_n / total)
 
 
 def hash_sample(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:

@@ -31,11 +31,11 @@ def silver(loans: DataFrame) -> DataFrame:
 
 def gold(
     loans: DataFrame,
-    train_rows: int | None = cfg.TRAIN_SAMPLE,
-    val_rows: int | None = cfg.VAL_SAMPLE,
+    train_rows: int | None = None,
+    val_rows: int | None = None,
     tie_key: str | None = None,
 ) -> dict[str, DataFrame]:
-    """``train``, ``val`` and ``test``; the first two sampled if a size is given, the test whole."""
+    """``train``, ``val`` and ``test``, whole; the first two sampled only if a size is asked for."""
     marked = split.time_split(loans, "issue_d", cfg.TRAIN_YEARS, [cfg.TEST_YEAR], cfg.TRAIN_SHARE, tie_key)
     parts = {name: marked.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     for name, size in (("train", train_rows), ("val", val_rows)):

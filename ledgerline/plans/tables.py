@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import config as cfg
 from ledgerline.operators import insights
+from ledgerline.operators.filters import years_condition
 from ledgerline.operators.timeseries import month_of
 from ledgerline.plans import layers
 from ledgerline.sources import macro_series, read_table, write_table
@@ -31,16 +32,26 @@ class LoanTables:
         return read_table(df.sparkSession, self.name(table))
 
 
-def build(spark: SparkSession, loans_csv: str, series_folder: str, tables: LoanTables) -> dict[str, DataFrame]:
+def build(
+    spark: SparkSession,
+    loans_csv: str,
+    series_folder: str,
+    tables: LoanTables,
+    train_rows: int | None = None,
+    val_rows: int | None = None,
+) -> dict[str, DataFrame]:
     """Raw files to stored layers and insight tables.
 
-    Cleaned loans are stored by issue month, so that splits and monthly reads skip files.
+    Cleaned loans are stored by issue month, and the splits read only the months of their years.
+    ``train_rows`` and ``val_rows`` ask for samples of the splits instead of the whole.
     """
     out = {"bronze_loans": tables.write(layers.bronze(spark, loans_csv), "bronze_loans")}
     silver = layers.silver(out["bronze_loans"]).withColumn("issue_month", month_of("issue_d"))
     out["silver_loans"] = tables.write(silver, "silver_loans", ["issue_month"])
     loans = out["silver_loans"].drop("issue_month")
-    for name, part in layers.gold(loans).items():
+    years = years_condition("issue_month", [*cfg.TRAIN_YEARS, cfg.TEST_YEAR])
+    splits = layers.gold(out["silver_loans"].filter(years).drop("issue_month"), train_rows, val_rows)
+    for name, part in splits.items():
         out[f"gold_loans_{name}"] = tables.write(part, f"gold_loans_{name}")
     out["bronze_macro"] = tables.write(macro_series(spark, series_folder), "bronze_macro")
     out["silver_macro"] = tables.write(layers.silver_macro(out["bronze_macro"]), "silver_macro")

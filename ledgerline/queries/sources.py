@@ -71,6 +71,18 @@ def _(spark, sf):
     return read_csv(spark, path).groupBy("priority").agg(F.count("*").alias("n"))
 
 
+@query(
+    "free_text_round_trip", "S1 S4 S8",
+    sql="SELECT doc_id, text FROM documents",
+)
+def _(spark, sf):
+    """Texts with quotes, commas and line breaks survive the CSV sink and scan unchanged."""
+    path = shared_path(spark, "texts-csv")
+    write_csv(table(spark, sf, "documents").select("doc_id", "text"), path)
+    back = read_csv(spark, path, null_tokens=(), multi_line=True)
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
 @query(
     "series_folder_scan", "S11 U2 A24",
     sql=f"""

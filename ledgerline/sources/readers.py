@@ -26,9 +26,14 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def dialect(reader_or_writer):
+    """Fields in double quotes; a quote inside is doubled, as other programs write it."""
+    return reader_or_writer.option("quote", '"').option("escape", '"')
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names from the first line."""
-    return spark.read.option("header", True).csv(path).columns
+    return dialect(spark.read).option("header", True).csv(path).columns
 
 
 def read_csv(
@@ -37,12 +42,15 @@ def read_csv(
     schema: T.StructType | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     infer: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header. Raises on a missing path; ``null_tokens`` are read as NULL in text columns.
 
-    Without a schema the columns stay text (``infer=True`` scans the whole file for types).
+    Without a schema the columns stay text (``infer=True`` scans the whole file for types). A quote inside
+    a quoted field is doubled. ``multi_line`` allows line breaks there; a file is then read by one task.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("nanValue", "NaN")
+    reader = dialect(spark.read).option("header", True).option("nullValue", "").option("nanValue", "NaN")
+    reader = reader.option("multiLine", multi_line)
     if infer:
         return reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
     raw = reader.schema(schema or text_schema(csv_header(spark, path))).csv(path)
@@ -65,9 +73,10 @@ def filtered_loans(
     schema: T.StructType | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
     require_rows: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV rows whose month-text date lies in ``[start, end]``; unreadable dates drop out."""
-    raw = read_csv(spark, path, schema, null_tokens)
+    raw = read_csv(spark, path, schema, null_tokens, multi_line=multi_line)
     if date_column not in raw.columns:
         raise MissingColumnError(f"{path} has no column {date_column}")
     dated = raw.withColumn(date_column, month_text_to_date(date_column))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.readers import dialect
+
 
 def write_table(
     df: DataFrame,
@@ -26,8 +28,9 @@ def write_table(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; NULL as an empty field."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    """CSV with a header; NULL as an empty field, quotes doubled, blanks at the ends of a text kept."""
+    writer = dialect(df.write.mode("overwrite")).option("header", True).option("nullValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def table_report(spark: SparkSession, name: str) -> DataFrame:
