@@ -48,6 +48,59 @@ def _(spark, sf):
     )
 
 
+# One feature of two values: the fits have a closed form, so SQL can state what they must predict.
+_SHARES = f"""
+    SELECT x, sum(label) AS pos, count(*) - sum(label) AS neg, sum(sum(label)) OVER () AS all_pos, sum(count(*) - sum(label)) OVER () AS all_neg
+    FROM (SELECT CASE WHEN quantity > 25 THEN 1e0 ELSE 0e0 END AS x, label FROM {sql(LEARNABLE)} AS l) AS r GROUP BY x
+"""
+
+
+def _two_values(spark, sf):
+    x = F.when(F.col("quantity") > 25, 1.0).otherwise(0.0)
+    return frame(spark, sf, LEARNABLE).select(x.alias("x"), "label")
+
+
+def _by_value(model, rows, digits=None):
+    probability = F.first("score") if digits is None else F.round(F.first("score"), digits)
+    return md.predict(model, rows, ["x"]).withColumnRenamed(md.SCORE, "score").groupBy("x").agg(probability.alias("probability"))
+
+
+@query(
+    "logistic_of_two_values", "L1 R3",
+    sql=f"SELECT x, round(pos * all_neg * 1e0 / (pos * all_neg + neg * all_pos), 3) AS probability FROM ({_SHARES}) AS s",
+    doubles="x probability",
+)
+def _(spark, sf):
+    """Without a penalty, balanced logistic regression predicts the weighted share of each value."""
+    rows = _two_values(spark, sf)
+    return _by_value(md.fit_logistic(rows, ["x"], "label", c=1e12), rows, 3)
+
+
+@query(
+    "tree_of_two_values", "L3",
+    sql=f"SELECT x, pos * all_neg * 1e0 / (pos * all_neg + neg * all_pos) AS probability FROM ({_SHARES}) AS s",
+    doubles="x probability",
+)
+def _(spark, sf):
+    """A tree of depth one predicts the weighted share of its leaf."""
+    rows = _two_values(spark, sf)
+    return _by_value(md.fit_tree(rows, ["x"], "label", max_depth=1), rows)
+
+
+@query(
+    "boosting_of_two_values", "L4 L5",
+    sql=f"""
+    SELECT x, 1 / (1 + exp(-2 * (pos * all_neg * 1e0 - neg * all_pos) / (pos * all_neg + neg * all_pos))) AS probability
+    FROM ({_SHARES}) AS s
+    """,
+    doubles="x probability",
+)
+def _(spark, sf):
+    """One round of boosting predicts the logistic of twice the leaf's weighted mean of -1 and 1."""
+    rows = _two_values(spark, sf)
+    return _by_value(md.fit_boosted(rows, ["x"], "label", trees=1, max_depth=1), rows)
+
+
 @query("logistic_regression", "L1")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
