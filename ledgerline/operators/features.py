@@ -28,7 +28,7 @@ from ledgerline.functions import (
 )
 from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.quantiles import exact_quantiles
-from ledgerline.functions.sizing import broadcast_if_small
+from ledgerline.functions.sizing import lookup_join
 from ledgerline.operators.profile import value_counts_long
 
 # Largest category list that is turned into one column per level. Longer ones are for
@@ -132,7 +132,7 @@ def merge_rare(df: DataFrame, rare: DataFrame, columns: Sequence[str], label: st
     out = df
     for c in columns:
         one = rare.filter(F.col("column") == c).select(F.col("value").alias(c), F.lit(True).alias("_rare"))
-        out = out.join(broadcast_if_small(one), c, "left").withColumn(c, F.when(F.col("_rare"), label).otherwise(F.col(c))).drop("_rare")
+        out = lookup_join(out, one, c).withColumn(c, F.when(F.col("_rare"), label).otherwise(F.col(c))).drop("_rare")
     return out.select(*df.columns)
 
 

@@ -36,6 +36,7 @@ WEIGHT = "_weight"
 FOLD = "_fold"
 SCORE = "score"
 SMALL_PARTITION_BYTES = 32 << 20
+SMALL_PARTITIONS = 8
 
 
 # Class weights.
@@ -84,10 +85,10 @@ def training_rows(
     kept = [slim.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         negatives, positives = class_counts(kept[0], label)
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if (negatives + positives) * len(features) * 8 < cores * SMALL_PARTITION_BYTES:
-            # Small enough for the planner to have packed it into a task or two.
-            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
+        if (negatives + positives) * len(features) * 8 < SMALL_PARTITIONS * SMALL_PARTITION_BYTES:
+            # Small enough for the planner to have packed it into a task or two. Subsampled trees draw per
+            # partition, so their number does not follow the number of cores.
+            kept.append(kept[0].repartition(SMALL_PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK))
         yield kept[-1].withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
     finally:
         for rows in reversed(kept):

@@ -24,8 +24,6 @@ from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.ordering import BUCKET, ROWS_PER_BUCKET, range_splits, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles
 
-# Beyond this many pairs the correlations come from block sums instead of one aggregate each.
-NATIVE_PAIRS = 200
 
 
 def _rows(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -435,9 +433,7 @@ def rates_by_category(df: DataFrame, columns: Sequence[str], target: str, max_le
     return kept.orderBy("column", F.desc("rate"), "value")
 
 
-def correlations(
-    df: DataFrame, columns: Sequence[str], with_column: str | None = None, native_pairs: int = NATIVE_PAIRS
-) -> DataFrame:
+def correlations(df: DataFrame, columns: Sequence[str], with_column: str | None = None) -> DataFrame:
     """``(a, b, r)``: Pearson correlation of each pair (or of each column with one), pairwise complete.
 
     NULL where either column is constant on the rows that have both.
@@ -448,21 +444,8 @@ def correlations(
         pairs = [(c, with_column) for c in columns if c != with_column]
     wanted = list(dict.fromkeys(n for p in pairs for n in p))
     df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in wanted})
-    facts = df.agg(
-        F.count("*"), *[F.struct(F.count(e), F.avg(e), F.min(e) < F.max(e)).alias(f"f{i}") for i, e in enumerate(exprs.values())]
-    ).first()
-    complete = all(f[0] == facts[0] and f[2] for f in facts[1:])
-    if not complete or len(pairs) > native_pairs:
-        return _block_correlations(df, exprs, [f[1] for f in facts[1:]], pairs)
-    # Without NULLs and constants the built-in correlation cannot divide by zero.
-    wide = df.agg(*[F.corr(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return _rows(
-        wide,
-        [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ],
-    )
+    means = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())]).first()
+    return _block_correlations(df, exprs, list(means), pairs)
 
 
 def _block_correlations(

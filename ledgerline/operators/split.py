@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.numeric import as_column
 from ledgerline.functions.ordering import range_splits, running_sums
 from ledgerline.functions.quantiles import order_statistics
-from ledgerline.functions.sizing import broadcast_if_small
+from ledgerline.functions.sizing import lookup_join
 from ledgerline.operators.filters import years_condition
 
 
@@ -39,7 +39,7 @@ def _percent_rank() -> Column:
 def with_percent_rank(df: DataFrame, date_column: str, output: str) -> DataFrame:
     """``percent_rank() over (order by date)`` of the dated rows, from the date histogram; NULL without a date."""
     ranks = date_histogram(df, date_column).select(F.col("date").alias(date_column), _percent_rank().alias(output))
-    return df.join(broadcast_if_small(ranks), date_column, "left")
+    return lookup_join(df, ranks, date_column)
 
 
 def rank_cutoff(df: DataFrame, date_column: str, share: float):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import as_column
-from ledgerline.functions.sizing import broadcast_if_small
+from ledgerline.functions.sizing import lookup_join
 
 MAX_SERIES = 1_000
 
@@ -56,7 +56,7 @@ def year_over_year(
     """
     if calendar:
         earlier = wide.select(F.add_months("year_month", periods).alias("year_month"), F.col(column).alias("_past"))
-        paired = wide.join(broadcast_if_small(earlier), "year_month", "left")
+        paired = lookup_join(wide, earlier, "year_month")
     else:
         paired = wide.withColumn("_past", F.lag(column, periods).over(Window.orderBy("year_month")))
     change = (F.try_divide(F.col(column), F.col("_past")) - 1) * 100
@@ -65,7 +65,7 @@ def year_over_year(
 
 def join_monthly(fact: DataFrame, wide: DataFrame, date_column: str, month: str = "year_month") -> DataFrame:
     """Left join of the month's series values to every fact row."""
-    return with_month(fact, date_column, month).join(broadcast_if_small(wide), month, "left")
+    return lookup_join(with_month(fact, date_column, month), wide, month)
 
 
 def join_with_fallback(
@@ -83,7 +83,7 @@ def join_with_fallback(
         return fact.withColumn(output, F.lit(constant))
     monthly = series.select(month_of("observation_date").alias("_month"), F.col("value").alias("_value"))
     latest = series.agg(F.max_by("value", "observation_date")).first()[0]
-    joined = with_month(fact, date_column, "_month").join(broadcast_if_small(monthly), "_month", "left")
+    joined = lookup_join(with_month(fact, date_column, "_month"), monthly, "_month")
     return joined.withColumn(output, F.coalesce("_value", F.lit(latest).cast("double"))).drop("_month", "_value")
 
 

@@ -37,7 +37,7 @@ def _(spark, sf):
 
 
 @query(
-    "binary_target", "P3 F2",
+    "binary_target", "P3",
     sql=f"""
     SELECT loan_id, cast(CASE WHEN loan_status = 'Charged Off' THEN 1 ELSE 0 END AS int) AS charged_off
     FROM {sql(RAW_LOANS)} WHERE loan_status IN ('Charged Off', 'Fully Paid')
@@ -48,6 +48,11 @@ def _(spark, sf):
     return clean.binary_target(raw, "loan_status", cfg.POSITIVE_STATUS, cfg.NEGATIVE_STATUS, cfg.TARGET)
 
 
+@query("rows_of_status", "F2", sql="SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')")
+def _(spark, sf):
+    return filters.has_status(table(spark, sf, "orders"), "o_orderstatus", ["F", "P"]).select("o_orderkey", "o_orderstatus")
+
+
 @query(
     "sparse_columns_dropped", "P4",
     sql=f"SELECT doc_id, lang, source, n_chars FROM {sql(LABELLED)}",

@@ -121,6 +121,10 @@ SELECT o_orderkey AS applicant_id,
   CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE 'Debt Consolidation' END AS purpose,
   cast(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey % 40 - 1 END AS int) AS open_acc,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE cast(o_custkey % 210 AS double) END AS revol_util,
+  cast(CASE WHEN o_orderkey % 67 = 0 THEN -1 WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderkey % 50 END AS int) AS total_acc,
+  cast(CASE WHEN o_orderkey % 71 = 0 THEN -2 WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey % 4 END AS int) AS delinq_2yrs,
+  cast(CASE WHEN o_orderkey % 73 = 0 THEN -1 WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_custkey % 3 END AS int) AS pub_rec,
+  cast(CASE WHEN o_orderkey % 79 = 0 THEN -3 WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey % 6 END AS int) AS inq_last_6mths,
   CASE WHEN o_orderkey % 7 = 0 THEN 'Unknown' WHEN o_orderkey % 7 = 1 THEN NULL ELSE 'Verified' END AS verification_status
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """

@@ -147,7 +147,7 @@ def _(spark, sf):
 @query("calibrated_linear_svm", "L6")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    model, auc = md.best_svm(train, val, _NUMBERS, "label", "row_id", cs=(0.01, 1.0), max_iter=15)
+    model, auc = md.best_svm(train, val, _NUMBERS, "label", "row_id")
     return spark.createDataFrame([(model.c, float(auc))], "c double, val_auc_roc double")
 
 
@@ -183,7 +183,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
     fitted = [
-        md.fit_and_score("LogisticRegression", "baseline", md.fit_logistic, train, val, _NUMBERS, "label", max_iter=50),
+        md.fit_and_score("LogisticRegression", "baseline", md.fit_logistic, train, val, _NUMBERS, "label"),
         md.fit_and_score("DecisionTree", "tuned", md.fit_tree, train, val, _NUMBERS, "label", max_depth=8, min_leaf=20),
         md.fit_and_score("BoostedTrees", "tuned", md.fit_boosted, train, val, _NUMBERS, "label", trees=5, max_depth=4),
     ]
@@ -211,7 +211,7 @@ def _(spark, sf):
 @query("feature_ablation", "L12")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    return md.ablation(train, val, ["price", "tax", "line", "total"], ["quantity", "discount"], "label", max_iter=50)
+    return md.ablation(train, val, ["price", "tax", "line", "total"], ["quantity", "discount"], "label")
 
 
 @query("feature_importance", "L13")
@@ -224,5 +224,5 @@ def _(spark, sf):
 @query("split_metrics", "V13 R6")
 def _(spark, sf):
     train, _, both = _parts(spark, sf)
-    model = md.fit_logistic(train, _NUMBERS, "label", max_iter=50)
+    model = md.fit_logistic(train, _NUMBERS, "label")
     return md.split_metrics(model, both, "label", "split")

@@ -84,12 +84,12 @@ def _(spark, sf):
 @query(
     "duplicate_rows", "A5",
     sql="""
-    SELECT count(*) AS n_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity, l_discount FROM lineitem) AS d) AS n_duplicates
+    SELECT count(*) AS n_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem) AS d) AS n_duplicates
     FROM lineitem
     """,
 )
 def _(spark, sf):
-    return profile.duplicate_count(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount"))
+    return profile.duplicate_count(table(spark, sf, "lineitem"))
 
 
 @query(
@@ -354,9 +354,9 @@ def _(spark, sf):
     doubles="r",
 )
 def _(spark, sf):
-    # The path for tables of many columns; the columns hold NULLs in different rows.
+    # The columns hold NULLs in different rows.
     columns = ["loan_amnt", "annual_inc", "dti", "total_acc"]
-    return profile.correlations(frame(spark, sf, LOANS), columns, native_pairs=0)
+    return profile.correlations(frame(spark, sf, LOANS), columns)
 
 
 @query(

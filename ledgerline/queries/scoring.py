@@ -18,7 +18,8 @@ _APPLICANTS = sql(APPLICANTS)
 _FILLED = f"""(
   SELECT applicant_id, loan_amnt, term, int_rate, sub_grade, annual_inc, dti, fico_score, home_ownership, purpose,
     coalesce(open_acc, 10) AS open_acc, coalesce(revol_util, 30) AS revol_util, coalesce(verification_status, 'Not Verified') AS verification_status,
-    cast(20 AS int) AS total_acc, cast(0 AS int) AS delinq_2yrs
+    coalesce(total_acc, 20) AS total_acc, coalesce(delinq_2yrs, 0) AS delinq_2yrs, coalesce(pub_rec, 0) AS pub_rec,
+    coalesce(inq_last_6mths, 0) AS inq_last_6mths
   FROM {_APPLICANTS} AS a)"""
 _GRADES = ", ".join(f"'{g}'" for g in cfg.SUB_GRADES)
 _ERROR = f"""concat_ws(' | ',
@@ -35,7 +36,11 @@ _ERROR = f"""concat_ws(' | ',
   CASE WHEN verification_status NOT IN ('Not Verified', 'Verified', 'Source Verified')
     THEN 'verification_status must be one of [''Not Verified'', ''Source Verified'', ''Verified''].' END,
   CASE WHEN open_acc < 0 THEN 'open_acc must be non-negative.' END,
-  CASE WHEN revol_util NOT BETWEEN 0 AND 200 THEN 'revol_util must be between 0 and 200.' END)"""
+  CASE WHEN total_acc < 0 THEN 'total_acc must be non-negative.' END,
+  CASE WHEN revol_util NOT BETWEEN 0 AND 200 THEN 'revol_util must be between 0 and 200.' END,
+  CASE WHEN delinq_2yrs < 0 THEN 'delinq_2yrs must be non-negative.' END,
+  CASE WHEN pub_rec < 0 THEN 'pub_rec must be non-negative.' END,
+  CASE WHEN inq_last_6mths < 0 THEN 'inq_last_6mths must be non-negative.' END)"""
 
 
 def _checked(spark, sf):
@@ -108,7 +113,7 @@ def _(spark, sf):
     loans = frame(spark, sf, LOANS)
     features = fit_loan_features(loans.drop("loan_id"))
     train = feature_frame(features, loans)
-    model = md.fit_logistic(train, features.feature_names, cfg.TARGET, max_iter=20)
+    model = md.fit_logistic(train, features.feature_names, cfg.TARGET)
     ready = prepared(sc.normalized_inputs(sc.valid_rows(_checked(spark, sf)), "2001-06"))
     scored = sc.predict_probability(ready, features, model, ["applicant_id"])
     return sc.with_tier(scored, "score", "LogisticRegression").drop("score", "risk_description")
@@ -165,7 +170,7 @@ def _(spark, sf):
     names = ["quantity", "price", "discount", "tax", "line", "total"]
     features = fe.fit_features(rows, fe.FeatureSpec(exclude=["row_id", "label", "day"]))
     made = features.transform(rows, ["row_id", "label"])
-    model = md.fit_logistic(made, names, "label", max_iter=20)
+    model = md.fit_logistic(made, names, "label")
     explained = sc.linear_contributions(made, sc.model_weights(model, names), top=1)
     top = F.col("contributions")[0]["feature"]
     return explained.groupBy(top.alias("feature")).agg(F.count("*").alias("n")).withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline import config as cfg
-from ledgerline.operators import insights, ranking, timeseries
+from ledgerline.operators import features, insights, models, ranking, timeseries
 from ledgerline.plans.layers import gold_macro, silver_macro
 from ledgerline.queries.base import query, table
 from ledgerline.queries.frames import LOANS, MACRO_LONG, frame, sql
@@ -205,9 +205,44 @@ def _(spark, sf):
 
 @query(
     "series_stacked", "U2 U3",
-    sql=f"SELECT series_id, observation_date, value FROM {_LONG} AS l WHERE series_id IN ('UNRATE', 'FEDFUNDS')",
+    sql=f"SELECT series_id, observation_date, value FROM {_LONG} AS l",
     doubles="value",
 )
 def _(spark, sf):
     long = frame(spark, sf, MACRO_LONG)
-    return ranking.stack_tables([long.filter(F.col("series_id") == s) for s in ("UNRATE", "FEDFUNDS")])
+    return ranking.stack_tables([long.filter(F.col("series_id") == s) for s in _IDS])
+
+
+# The seven columns that the series add to a loan, encoded as the model input: median and scale of the early loans.
+_ADDED = ["UNRATE", "FEDFUNDS", "CPIAUCSL", "CPI_YOY", "state_unrate", "real_int_rate", "rate_spread"]
+_EARLY = "issue_d < DATE '1997-01-01'"
+
+
+def _each(text: str) -> str:
+    return ", ".join(text.format(c=c) for c in _ADDED)
+
+
+@query(
+    "series_feature_matrix", "E18",
+    sql=f"""
+    WITH j AS (SELECT * FROM {_JOINED} AS x), t AS (SELECT * FROM j WHERE {_EARLY}),
+      m AS (SELECT {_each("median({c}) AS {c}_m")} FROM t),
+      z AS (SELECT {_each("avg(coalesce({c}, {c}_m)) AS {c}_a, stddev_pop(coalesce({c}, {c}_m)) AS {c}_s")} FROM t, m)
+    SELECT loan_id, {_each("(coalesce({c}, {c}_m) - {c}_a) / {c}_s AS {c}")} FROM j, m, z
+    """,
+    doubles=" ".join(_ADDED),
+)
+def _(spark, sf):
+    rows = _joined(spark, sf).select("loan_id", "issue_d", *_ADDED)
+    made = features.fit_features(rows.filter(_EARLY), features.plain_spec([], exclude=["loan_id"]))
+    return made.transform(rows, ["loan_id"])
+
+
+@query("series_ablation", "L12 E18")
+def _(spark, sf):
+    """What the series add to the loan's own numbers, by the validation AUC of the same model."""
+    own = ["loan_amnt", "term", "int_rate", "annual_inc", "dti", "open_acc", "fico_range_low"]
+    rows = _joined(spark, sf).select("issue_d", "charged_off", *own, *_ADDED)
+    made = features.fit_features(rows.filter(_EARLY), features.plain_spec([], exclude=["charged_off"]))
+    parts = [made.transform(rows.filter(part), ["charged_off"]) for part in (_EARLY, f"NOT {_EARLY}")]
+    return models.ablation(*parts, own, _ADDED, "charged_off")

@@ -17,6 +17,7 @@ from ledgerline.sources import (
     preview,
     read_csv,
     read_table,
+    table_report,
     write_csv,
     write_table,
     year_distribution,
@@ -45,7 +46,7 @@ def _raw_csv(spark, sf) -> str:
     """,
 )
 def _(spark, sf):
-    return filtered_loans(spark, _raw_csv(spark, sf), "1996-01-01", "1999-12-31")
+    return filtered_loans(spark, _raw_csv(spark, sf), "1996-01-01", "1999-12-31", require_rows=True)
 
 
 @query(
@@ -101,7 +102,7 @@ def _(spark, sf):
 
 
 @query(
-    "table_overwrite_read", "S6 S7 S12",
+    "table_overwrite_read", "S6 S7",
     sql="SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1",
 )
 def _(spark, sf):
@@ -114,6 +115,14 @@ def _(spark, sf):
     return read_table(spark, name).groupBy("status").agg(F.count("*").alias("n"))
 
 
+@query("stored_table_report", "S12", sql="SELECT 'parquet' AS provider, count(*) AS n_rows FROM orders")
+def _(spark, sf):
+    path = shared_path(spark, "reported-orders")
+    name = "reported_orders_" + path.rsplit("-", 1)[1]
+    write_table(table(spark, sf, "orders"), name, path=path)
+    return table_report(spark, name).select("provider", "n_rows")
+
+
 @query(
     "stored_insight_scan", "S9",
     sql="SELECT l_returnflag AS flag, count(*) AS n, avg(l_discount) AS rate FROM lineitem GROUP BY 1",

@@ -15,7 +15,7 @@ from ledgerline import session
 from ledgerline.config import EMP_LENGTH_ORDINALS
 from ledgerline.functions.ordering import BUCKET, range_splits, running_sums, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles, order_statistics
-from ledgerline.functions.sizing import broadcast_if_small, kept_if_small
+from ledgerline.functions.sizing import broadcast_if_small, is_small, kept_if_small, lookup_join
 
 
 def one(df, expr):
@@ -139,6 +139,19 @@ def test_broadcast_only_below_the_bound(spark):
     assert "broadcast" not in plan(broadcast_if_small(large, 10)).lower()
 
 
+def test_size_counts_text_bytes(spark):
+    long = spark.createDataFrame([("x" * 1_000,)] * 20, "s string")
+    assert is_small(long, 20, 50_000) and not is_small(long, 20, 10_000) and not is_small(long, 10, 50_000)
+
+
+def test_lookup_join_is_the_same_broadcast_or_salted(spark):
+    fact = spark.createDataFrame([(i, None if i % 10 == 0 else "hot" if i % 3 else f"k{i % 7}") for i in range(200)], "i int, k string")
+    lookup = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("k3", None)], "k string, v double")
+    results = [sorted(map(tuple, lookup_join(fact, lookup, "k", max_rows=n).collect()), key=repr) for n in (100, 1)]
+    assert results[0] == results[1] and len(results[0]) == 200
+    assert lookup_join(fact, lookup, "k", max_rows=1).columns == lookup_join(fact, lookup, "k").columns
+
+
 def test_files_go_to_the_folder_the_cluster_names(spark, monkeypatch):
     local = session.shared_dir(spark)
     assert local == session.shared_dir(spark)
