@@ -28,12 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import quote_name
+from ledgerline.functions.quantiles import exact_quantiles
 from ledgerline.operators.evaluate import evaluate, ranking_metrics
 from ledgerline.operators.ranking import best_row
 
 FEATURES = "features"
 WEIGHT = "_weight"
 FOLD = "_fold"
+DRAW = "_draw"
 SCORE = "score"
 SMALL_PARTITION_BYTES = 32 << 20
 SMALL_PARTITIONS = 8
@@ -166,9 +168,24 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFra
 
 # Cross-validation.
 
-def with_fold(df: DataFrame, key: str, folds: int, seed: int = 42) -> DataFrame:
-    """A fold number per row, from a hash of the key."""
-    return df.withColumn(FOLD, F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int"))
+def fold_draw(key: str, seed: int = 42) -> Column:
+    """The number that decides a row's fold: a hash of the key, exact as a double."""
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2**52)).cast("double").alias(DRAW)
+
+
+def with_fold(rows: DataFrame, label: str, folds: int) -> DataFrame:
+    """A fold number per row of ``rows`` with ``fold_draw``; every fold has an equal share of each class, up to one row.
+
+    Exact quantiles of the draw cut each class; rows that share a draw share a fold.
+    """
+    classes = {str(y): F.when(F.col(label) == y, F.col(DRAW)) for y in (0, 1)}
+    cuts = exact_quantiles(rows, classes, [i / folds for i in range(1, folds)])
+
+    def fold(y: int) -> Column:
+        above = [(F.col(DRAW) > F.lit(c)).cast("int") for c in cuts[str(y)] if c is not None]
+        return sum(above, F.lit(0))
+
+    return rows.withColumn(FOLD, F.when(F.col(label) == 1, fold(1)).otherwise(fold(0)))
 
 
 def _map_parallel(spark: SparkSession, task: Callable, items: Sequence, parallelism: int) -> list:
@@ -192,7 +209,8 @@ def cross_validate_logistic(
 ) -> tuple[list[dict], PipelineModel]:
     """AUC of every penalty over the folds, and the best one refitted on all rows."""
     spark = train.sparkSession
-    with training_rows(with_fold(train, key, folds), features, label, "balanced", [F.col(FOLD)]) as rows:
+    with training_rows(train, features, label, "balanced", [fold_draw(key)]) as kept:
+        rows = with_fold(kept, label, folds)
         totals = _fold_weights(rows)
 
         def run(job):
@@ -264,7 +282,8 @@ def fit_calibrated_svm(
 ) -> CalibratedSvm:
     """For each fold: margin model on the other rows, sigmoid on the fold."""
     spark = train.sparkSession
-    with training_rows(with_fold(train, key, folds), features, label, "balanced", [F.col(FOLD)]) as rows:
+    with training_rows(train, features, label, "balanced", [fold_draw(key)]) as kept:
+        rows = with_fold(kept, label, folds)
         totals = _fold_weights(rows)
 
         def run(fold):

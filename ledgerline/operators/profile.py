@@ -24,6 +24,8 @@ from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.ordering import BUCKET, ROWS_PER_BUCKET, range_splits, with_range_bucket
 from ledgerline.functions.quantiles import exact_quantiles
 
+# Beyond this many pairs the correlations come from block sums instead of one aggregate each.
+NATIVE_PAIRS = 200
 
 
 def _rows(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -433,10 +435,14 @@ def rates_by_category(df: DataFrame, columns: Sequence[str], target: str, max_le
     return kept.orderBy("column", F.desc("rate"), "value")
 
 
-def correlations(df: DataFrame, columns: Sequence[str], with_column: str | None = None) -> DataFrame:
+def correlations(
+    df: DataFrame, columns: Sequence[str], with_column: str | None = None, native_pairs: int = NATIVE_PAIRS
+) -> DataFrame:
     """``(a, b, r)``: Pearson correlation of each pair (or of each column with one), pairwise complete.
 
-    NULL where either column is constant on the rows that have both.
+    NULL where either column is constant on the rows that have both. More than ``native_pairs`` pairs
+    are too many for one aggregate; their cross products are summed per task. The data do not matter
+    for that choice, only the number of columns.
     """
     if with_column is None:
         pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
@@ -444,8 +450,24 @@ def correlations(df: DataFrame, columns: Sequence[str], with_column: str | None
         pairs = [(c, with_column) for c in columns if c != with_column]
     wanted = list(dict.fromkeys(n for p in pairs for n in p))
     df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in wanted})
-    means = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())]).first()
-    return _block_correlations(df, exprs, list(means), pairs)
+    if len(pairs) > native_pairs:
+        means = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())]).first()
+        return _block_correlations(df, exprs, list(means), pairs)
+
+    def correlation(x: Column, y: Column) -> Column:
+        # The built-in one divides by zero for a constant, and merged variances of one are rounding noise.
+        own, other = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        varies = (F.min(own) < F.max(own)) & (F.min(other) < F.max(other))
+        return F.when(varies, F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(own)) * F.sqrt(F.var_pop(other))))
+
+    wide = df.agg(*[correlation(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return _rows(
+        wide,
+        [
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(pairs)
+        ],
+    )
 
 
 def _block_correlations(

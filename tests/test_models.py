@@ -126,3 +126,13 @@ def test_neighbors_equal_brute_force(spark, block_rows, skip_self):
         assert [actual[i][k + 1] for k in range(7)] == list(order)
     score = {r["id"]: r["score"] for r in neighbors.neighbor_score(got, "id", "y").collect()}
     assert all(0 <= v <= 1 for v in score.values()) and len(score) == 50
+
+
+def test_folds_hold_equal_shares_of_each_class(spark):
+    rows = spark.range(1_000).select("id", (F.col("id") % 50 == 0).cast("int").alias("y"))
+    drawn = rows.select("id", "y", md.fold_draw("id"))
+    counts = md.with_fold(drawn, "y", 3).groupBy("y", md.FOLD).count().collect()
+    sizes = {y: sorted(r["count"] for r in counts if r["y"] == y) for y in (0, 1)}
+    assert sizes == {0: [326, 327, 327], 1: [6, 7, 7]}
+    one_class = md.with_fold(drawn.filter("y = 0"), "y", 3)
+    assert one_class.select(md.FOLD).distinct().count() == 3
