@@ -2,8 +2,8 @@
 
 Pages become streams of block tags and texts. The streams of a bounded sample of a host's pages are
 aligned one after another: repeated siblings become repeated groups, what one stream lacks becomes
-optional, texts that differ become slots. The wrapper says which container holds the article and
-which texts are the host's own; a page that it doesn't match is aligned with it first.
+optional, texts that differ become slots. The wrapper says which texts are the host's own; a page that it
+doesn't match is aligned with it first. Each page's own elements say which container holds its article.
 """
 
 from __future__ import annotations
@@ -162,16 +162,16 @@ def _other(symbol: str, inside: bool) -> bool:
     return name in OTHER_PARTS or (name == "header" and not inside) or not OTHER_NAMES.isdisjoint(named)
 
 
-def container(wrapper: list) -> str | None:
-    """The kind of element that holds the article on this host, or None for the whole page."""
+def containers(page: list) -> list[str]:
+    """The kinds of element that may hold the article of this page, the best first."""
     found = set()
-    stack = [wrapper]
+    stack = [page]
     while stack:
         x = stack.pop()
         if x[0] != TEXT and not _other(x[0], False):
             found.update(set(CONTAINERS).intersection(_names(x[0])))
-            stack += x[3]
-    return next((c for c in CONTAINERS if c in found), None)
+            stack += x[1]
+    return [c for c in CONTAINERS if c in found]
 
 
 def constants(wrapper: list) -> list[str]:
@@ -186,8 +186,16 @@ def constants(wrapper: list) -> list[str]:
     return out
 
 
-def main_text(page: list, kind: str | None, fixed: frozenset[str]) -> str:
-    """The article's blocks: texts inside the container, without other parts; outside one, without fixed texts."""
+def main_text(page: list, fixed: frozenset[str]) -> str:
+    """The article's blocks: those of the page's best container that has any, else of the whole page without fixed texts."""
+    for kind in (*containers(page), None):
+        if text := _blocks(page, kind, fixed):
+            break
+    return text
+
+
+def _blocks(page: list, kind: str | None, fixed: frozenset[str]) -> str:
+    """Texts inside the container, without other parts; outside one, without fixed texts."""
     out: list[str] = []
 
     def walk(node: list, inside: bool) -> None:
@@ -241,18 +249,18 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
                 if host_name not in compiled:
                     wrapper = json.loads(raw) if raw else infer([])
                     codes: dict[str, str] = {}
-                    compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, _roles(wrapper, aligned))
-                wrapper, pattern, codes, roles = compiled[host_name]
+                    compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, _fixed(wrapper, aligned))
+                wrapper, pattern, codes, fixed = compiled[host_name]
                 if not pattern.fullmatch(stream(tree, codes)):
-                    roles = _roles(_aligned(wrapper, generalised(tree)), aligned)
-                texts.append(main_text(tree, *roles))
+                    fixed = _fixed(_aligned(wrapper, generalised(tree)), aligned)
+                texts.append(main_text(tree, fixed))
             kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema.names)
 
     return known.mapInArrow(apply, schema)
 
 
-def _roles(wrapper: list, aligned) -> tuple[str | None, frozenset[str]]:
-    """The container, and the host's own texts if enough different pages were aligned to tell."""
+def _fixed(wrapper: list, aligned) -> frozenset[str]:
+    """The host's own texts if enough different pages were aligned to tell."""
     enough = aligned is not None and aligned >= CONSTANT_PAGES
-    return container(wrapper), frozenset(constants(wrapper)) if enough else frozenset()
+    return frozenset(constants(wrapper)) if enough else frozenset()

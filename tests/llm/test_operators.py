@@ -311,6 +311,14 @@ def test_wrappers_on_odd_pages(spark):
     assert wrappers.extract(frame.limit(0)).count() == 0
 
 
+def test_wrappers_with_several_containers_on_a_host(spark):
+    kinds = ("<article>{0}</article>", "<main>{0}</main>", "<div class='content'>{0}</div>", "<article></article><main>{0}</main>", "<div>{0}</div>")
+    pages = [(i, f"<nav><a>Home</a></nav>{kinds[i % 5].format(f'<h1>title {i}</h1><p>text {i}')}<footer>f</footer>") for i in range(30)]
+    rows = [(i, url, page) for url in ("http://a.b/x", None) for i, page in pages]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 60 and all(r.text == f"title {r.page_id}\n\ntext {r.page_id}" for r in got)
+
+
 def test_wrapper_inference():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><div>ad</div><p>y</p><p>z</p>"]
     wrapper, codes = wrappers.infer(pages), {}
