@@ -2,12 +2,14 @@
 
 Pages become streams of block tags and texts. The streams of a bounded sample of a host's pages are
 aligned one after another: repeated siblings become repeated groups, what one stream lacks becomes
-optional, texts that differ become slots. The wrapper says which texts are the host's own; a page that it
+optional, texts that differ become slots. Counts over all pages of a host confirm the texts that the wrapper
+has as fixed, or in a repeated group: these are the host's own, inside containers too. A page that the wrapper
 doesn't match is aligned with it first. Each page's own elements say which container holds its article.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -20,6 +22,7 @@ from ledgerline.llm.store import join_small, stored
 
 PAGES_PER_HOST = 12
 CONSTANT_PAGES = 4
+CONSTANT_SHARE = 0.9
 MOST_DEPTH = 150
 TEXT = "#text"
 
@@ -174,48 +177,85 @@ def containers(page: list) -> list[str]:
     return [c for c in CONTAINERS if c in found]
 
 
-def constants(wrapper: list) -> list[str]:
-    """Texts that every aligned page had in the same place."""
-    out, stack = [], [wrapper]
+def constants(wrapper: list) -> tuple[frozenset[tuple[str, str]], frozenset[str]]:
+    """Paths and texts that every aligned page had in the same place, and the paths of texts in repeated groups."""
+    fixed, repeated, stack = set(), set(), [(wrapper, wrapper[0], False)]
     while stack:
-        x = stack.pop()
-        if x[0] == TEXT:
-            out += [x[3]] if x[3] is not None and not x[1] else []
-        else:
-            stack += x[3]
+        x, path, group = stack.pop()
+        for child in x[3]:
+            if child[0] != TEXT:
+                stack.append((child, f"{path}/{child[0]}", group or child[2]))
+            elif group:
+                repeated.add(path)
+            elif child[3] is not None and not child[1]:
+                fixed.add((path, child[3]))
+    return frozenset(fixed), frozenset(repeated)
+
+
+def places(page: list) -> list[tuple[str, str, str]]:
+    """Place, path and text of each text; the place is the path of its container, or its own path outside one."""
+    kind = next(iter(containers(page)), None)
+    out, stack = [], [(page, page[0], None)]
+    while stack:
+        x, path, place = stack.pop()
+        for child in x[1]:
+            if child[0] == TEXT:
+                out.append((place or path, path, child[1]))
+            else:
+                below = f"{path}/{child[0]}"
+                stack.append((child, below, place or (below if kind in _names(child[0]) else None)))
     return out
 
 
-def main_text(page: list, fixed: frozenset[str]) -> str:
-    """The article's blocks: those of the page's best container that has any, else of the whole page without fixed texts."""
-    for kind in (*containers(page), None):
-        if text := _blocks(page, kind, fixed):
-            break
-    return text
+def _key(*parts: str) -> int:
+    raw = hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest()
+    return int.from_bytes(raw, "little", signed=True)
+
+
+def own_texts(page: list, counted: frozenset[int], fixed: frozenset[tuple[str, str]], repeated: frozenset[str]) -> frozenset[tuple[str, str]]:
+    """Paths and texts of the page that are its host's: of the wrapper, and confirmed by the counts."""
+    if not counted:
+        return frozenset()
+    return frozenset(
+        (path, text) for place, path, text in places(page)
+        if ((path, text) in fixed or path in repeated) and _key(place, path, text) in counted
+    )
+
+
+def main_text(page: list, own: frozenset[tuple[str, str]]) -> str:
+    """The article's blocks without the host's own texts: those of the page's best container that has any, else of the whole page.
+
+    A container of nothing but the host's own texts is taken whole: its pages are near copies of one article.
+    """
+    for kind in containers(page):
+        if text := _blocks(page, kind, own) or _blocks(page, kind, frozenset()):
+            return text
+    return _blocks(page, None, own)
 
 
-def _blocks(page: list, kind: str | None, fixed: frozenset[str]) -> str:
-    """Texts inside the container, without other parts; outside one, without fixed texts."""
+def _blocks(page: list, kind: str | None, own: frozenset[tuple[str, str]]) -> str:
+    """Texts inside the container, without other parts and the host's own texts."""
     out: list[str] = []
 
-    def walk(node: list, inside: bool) -> None:
+    def walk(node: list, path: str, inside: bool) -> None:
         for child in node[1]:
             if child[0] == TEXT:
-                if inside and (kind is not None or child[1] not in fixed):
+                if inside and (path, child[1]) not in own:
                     out.append(child[1])
             elif not _other(child[0], inside and kind is not None):
-                walk(child, inside or kind in _names(child[0]))
+                walk(child, f"{path}/{child[0]}", inside or kind in _names(child[0]))
 
-    walk(page, kind is None)
+    walk(page, page[0], kind is None)
     return "\n\n".join(out)
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: int = PAGES_PER_HOST) -> DataFrame:
     """``pages`` with ``text``, the article's blocks joined by an empty line, and ``n_chars``.
 
-    A host's wrapper is inferred from at most ``per_host`` of its pages, chosen by hash; every page is then
-    extracted whole. Null html is empty and gives an empty text; pages with a null or odd url share the empty host;
-    repeated rows give equal texts; columns named like the new ones are replaced; an empty input gives no rows.
+    A host's wrapper is inferred from at most ``per_host`` of its different pages, chosen by hash; all its different
+    pages are counted for the texts they share, and every page is extracted whole. Null html is empty and gives an
+    empty text; pages with a null or odd url share the empty host; repeated rows give equal texts; columns named like
+    the new ones are replaced; an empty input gives no rows.
     """
     from pyspark.sql import types as T
 
@@ -223,18 +263,20 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
     names = pages.columns
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page"), "page")
-    chosen = pages.select(host.alias("host"), F.col(html).alias("page")).where("page is not null")
-    chosen = chosen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_host)
+    given = pages.select(host.alias("host"), F.col(html).alias("page"), F.xxhash64(html).alias("print")).where("page is not null")
+    order = Window.partitionBy("host").orderBy("print")
+    sample = given.select("host", "print").distinct().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_host)
+    chosen = join_small(given, stored(sample, "sample"), ["host", "print"]).groupBy("host", "nth").agg(F.first("page").alias("page"))
 
     def learn(frame):
         import pandas as pd
 
-        ordered = frame.sort_values("nth")["page"].tolist()
-        wrapper = infer(ordered)
-        return pd.DataFrame({"_host": [frame["host"].iloc[0]], "_wrapper": [json.dumps(wrapper)], "_aligned": [len(set(ordered))]})
+        wrapper = infer(frame.sort_values("nth")["page"].tolist())
+        return pd.DataFrame({"host": [frame["host"].iloc[0]], "_wrapper": [json.dumps(wrapper)]})
 
-    learned = stored(chosen.groupBy("host").applyInPandas(learn, "_host string, _wrapper string, _aligned int"), "wrappers")
+    learned = chosen.groupBy("host").applyInPandas(learn, "host string, _wrapper string")
+    learned = learned.join(_shared_texts(given), F.xxhash64("host") == F.col("id"), "left")
+    learned = stored(learned.select(F.col("host").alias("_host"), "_wrapper", "_counted"), "wrappers")
     known = join_small(pages.withColumn("_host", host), learned, ["_host"], "left")
 
     def apply(batches):
@@ -242,25 +284,52 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
 
         compiled: dict[str, tuple] = {}
         for batch in batches:
-            columns = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in (html, "_host", "_wrapper", "_aligned")}
+            columns = {n: batch.column(batch.schema.get_field_index(n)).to_pylist() for n in (html, "_host", "_wrapper", "_counted")}
             texts = []
-            for page, host_name, raw, aligned in zip(*columns.values()):
+            for page, host_name, raw, counted in zip(*columns.values()):
                 tree = parse(page or "")
                 if host_name not in compiled:
                     wrapper = json.loads(raw) if raw else infer([])
                     codes: dict[str, str] = {}
-                    compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, _fixed(wrapper, aligned))
-                wrapper, pattern, codes, fixed = compiled[host_name]
+                    compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, frozenset(counted or ()), constants(wrapper))
+                wrapper, pattern, codes, shared, roles = compiled[host_name]
                 if not pattern.fullmatch(stream(tree, codes)):
-                    fixed = _fixed(_aligned(wrapper, generalised(tree)), aligned)
-                texts.append(main_text(tree, fixed))
+                    roles = constants(_aligned(wrapper, generalised(tree)))
+                texts.append(main_text(tree, own_texts(tree, shared, *roles)))
             kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema.names)
 
     return known.mapInArrow(apply, schema)
 
 
-def _fixed(wrapper: list, aligned) -> frozenset[str]:
-    """The host's own texts if enough different pages were aligned to tell."""
-    enough = aligned is not None and aligned >= CONSTANT_PAGES
-    return frozenset(constants(wrapper)) if enough else frozenset()
+def _shared_texts(given: DataFrame) -> DataFrame:
+    """Per hash of a host the keys of texts on nearly all of its different pages that have their place.
+
+    At least ``CONSTANT_PAGES`` pages; a key is a hash of place, path and text, so a place has few of them.
+    """
+
+    def texts(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows: set[tuple[int, int, int, int]] = set()
+            seen: set[tuple[int, int]] = set()
+            for id_, page, print_ in zip(*(c.to_pylist() for c in batch.columns)):
+                if (id_, print_) in seen:
+                    continue
+                seen.add((id_, print_))
+                known: dict[str, int] = {}
+                for place, path, text in places(parse(page)):
+                    if place not in known:
+                        known[place] = _key(place)
+                        rows.add((id_, known[place], known[place], print_))
+                    rows.add((id_, known[place], _key(place, path, text), print_))
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "place", "key", "print"])
+
+    found = given.select(F.xxhash64("host").alias("id"), "page", "print").mapInArrow(texts, "id long, place long, key long, print long")
+    counts = found.distinct().groupBy("id", "place", "key").count().where(F.col("count") >= CONSTANT_PAGES)
+    counts = stored(counts, "shared-texts")
+    having = counts.where("key = place").select("id", "place", F.col("count").alias("having"))
+    shared = counts.where("key <> place").join(having, ["id", "place"]).where(F.col("count") >= CONSTANT_SHARE * F.col("having"))
+    return shared.groupBy("id").agg(F.collect_list("key").alias("_counted"))

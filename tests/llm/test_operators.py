@@ -319,6 +319,21 @@ def test_wrappers_with_several_containers_on_a_host(spark):
     assert len(got) == 60 and all(r.text == f"title {r.page_id}\n\ntext {r.page_id}" for r in got)
 
 
+def test_wrappers_drop_the_texts_of_a_host(spark):
+    """In a container and outside one, however often a page is repeated; texts of few pages stay."""
+    notice = "<div><p>Members read more.</div>"
+    inside = "<article><h1>title {0}</h1>" + notice + "<p>text {0}<p>All rights reserved.</article>"
+    outside = "<div><p>Our shop</div><div><h1>title {0}</h1><p>text {0}</div>"
+    rows = [(i, f"http://{name}/", page.format(i)) for name, page in (("in", inside), ("out", outside)) for i in range(20)]
+    rows += [(0, f"http://{name}/", page.format(0)) for name, page in (("in", inside), ("out", outside)) for _ in range(40)]
+    rows += [(50 + i, "http://few/", inside.format(50 + i)) for i in range(3)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        shown = ("Members read more.", f"text {r.page_id}", "All rights reserved.") if "few" in r.url else (f"text {r.page_id}",)
+        assert r.text == "\n\n".join((f"title {r.page_id}", *shown))
+
+
 def test_wrapper_inference():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><div>ad</div><p>y</p><p>z</p>"]
     wrapper, codes = wrappers.infer(pages), {}
