@@ -28,20 +28,27 @@ TEXT = "#text"
 
 # Element names of HTML and usual names of page parts.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr
+    math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup
+    msup mtable mtd mtext mtr munder munderover semantics""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "object", "math")
+RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "object", "annotation-xml", "annotation")
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
 CLOSES_SAME = frozenset("li dt dd tr td th option thead tbody tfoot".split())
-OTHER_PARTS = frozenset("nav footer aside form button dialog menu head title address figcaption".split())
+OTHER_PARTS = frozenset("nav footer aside form button dialog menu head title".split())
 OTHER_NAMES = frozenset(
     """ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer
     form masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related respond
     share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split()
 )
+# Those of them that name nothing else when they stand alone.
+PART_NAMES = frozenset(
+    """ad ads advert advertisement adverts breadcrumb breadcrumbs comments cookie cookies disqus footer masthead menu nav navbar
+    navigation newsletter pagination promo sidebar sponsored toolbar""".split()
+)
 CONTAINERS = ("article", "main", "content", "post", "entry", "story")
 
 _TOKEN = re.compile(
@@ -53,7 +60,7 @@ _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 
 
 def parse(page: str) -> list:
-    """The page as a tree of [symbol, children]; a text is [TEXT, string]. Symbols hold name, class, id and role.
+    """The page as a tree of [symbol, children]; a text is [TEXT, string, whether all of it is links]. Symbols hold name, class, id and role.
 
     Comments, scripts and other raw elements are gone, inline tags too; a line break is white space.
     Missing closing tags are supplied as browsers do.
@@ -61,16 +68,20 @@ def parse(page: str) -> list:
     root: list = ["#root", []]
     stack = [root]
     text: list[str] = []
+    link, linked = False, True
 
     def flush() -> None:
+        nonlocal linked
         own = " ".join(entities.unescape("".join(text)).split())
-        text.clear()
         if own:
-            stack[-1][1].append([TEXT, own])
+            stack[-1][1].append([TEXT, own, linked])
+        text.clear()
+        linked = True
 
     for m in _TOKEN.finditer(page):
         if m["text"] is not None:
             text.append(m["text"])
+            linked = linked and (link or not m["text"].strip())
             continue
         if m["name"] is None:
             continue
@@ -78,6 +89,8 @@ def parse(page: str) -> list:
         if name in INLINE or name == "br":
             if name == "br":
                 text.append(" ")
+            if name == "a":
+                link = not m["close"]
             continue
         flush()
         if m["close"]:
@@ -159,22 +172,62 @@ def _names(symbol: str) -> list[str]:
     return re.split(r"[^a-z0-9]+", symbol)
 
 
-def _other(symbol: str, inside: bool) -> bool:
-    """Whether an element is a part of the page rather than of its article."""
-    name, *named = _names(symbol)
-    return name in OTHER_PARTS or (name == "header" and not inside) or not OTHER_NAMES.isdisjoint(named)
-
+def _other(node: list, path: str, inside: bool, own: frozenset[tuple[str, str]]) -> bool:
+    """Whether an element is a part of the page rather than of its article.
 
-def containers(page: list) -> list[str]:
-    """The kinds of element that may hold the article of this page, the best first."""
-    found = set()
-    stack = [page]
+    By its tag, or by a class, id or role that names such a part. A name that only may tell of one, as related-work
+    or has-sidebar, counts if nothing but links and the host's own texts (paths and texts) stand in the element.
+    """
+    name, *named = node[0].split()
+    if name in OTHER_PARTS or (name == "header" and not inside):
+        return True
+    if name in ("html", "body"):
+        return False
+    if not PART_NAMES.isdisjoint(named):
+        return True
+    return not OTHER_NAMES.isdisjoint(_names(" ".join(named))) and _only_own(node, path, own)
+
+
+def _only_own(node: list, path: str, own: frozenset[tuple[str, str]]) -> bool:
+    stack = [(node, path)]
     while stack:
-        x = stack.pop()
-        if x[0] != TEXT and not _other(x[0], False):
-            found.update(set(CONTAINERS).intersection(_names(x[0])))
-            stack += x[1]
-    return [c for c in CONTAINERS if c in found]
+        x, path = stack.pop()
+        for child in x[1]:
+            if child[0] != TEXT:
+                stack.append((child, f"{path}/{child[0]}"))
+            elif not child[2] and (path, child[1]) not in own:
+                return False
+    return True
+
+
+def _kinds(symbol: str) -> set[str]:
+    """The kinds of container that the element's tag or one of its class, id and role names tells."""
+    told = [x for x in map(_names, symbol.split()) if OTHER_NAMES.isdisjoint(x)]
+    return {c for c in CONTAINERS if any(c in x for x in told)}
+
+
+def containers(page: list, own: frozenset[tuple[str, str]] = frozenset()) -> dict[str, set[int]]:
+    """The elements (by ``id``) that may hold the article of this page, by kind, the best kind first.
+
+    Those in or named as other parts only where the page has no better one.
+    """
+    for named in (False, True):
+        found: dict[str, set[int]] = {}
+        stack = [(page, page[0])]
+        while stack:
+            x, path = stack.pop()
+            for child in x[1]:
+                tag = child[0].split()[0]
+                if child[0] == TEXT or tag == "header" or (tag in OTHER_PARTS and not (named and tag == "form")):
+                    continue
+                below = f"{path}/{child[0]}"
+                if named or not _other(child, below, False, own):
+                    for c in _kinds(child[0]):
+                        found.setdefault(c, set()).add(id(child))
+                    stack.append((child, below))
+        if found:
+            break
+    return {c: found[c] for c in CONTAINERS if c in found}
 
 
 def constants(wrapper: list) -> tuple[frozenset[tuple[str, str]], frozenset[str]]:
@@ -194,7 +247,7 @@ def constants(wrapper: list) -> tuple[frozenset[tuple[str, str]], frozenset[str]
 
 def places(page: list) -> list[tuple[str, str, str]]:
     """Place, path and text of each text; the place is the path of its container, or its own path outside one."""
-    kind = next(iter(containers(page)), None)
+    best = next(iter(containers(page).values()), set())
     out, stack = [], [(page, page[0], None)]
     while stack:
         x, path, place = stack.pop()
@@ -203,7 +256,7 @@ def places(page: list) -> list[tuple[str, str, str]]:
                 out.append((place or path, path, child[1]))
             else:
                 below = f"{path}/{child[0]}"
-                stack.append((child, below, place or (below if kind in _names(child[0]) else None)))
+                stack.append((child, below, place or (below if id(child) in best else None)))
     return out
 
 
@@ -227,25 +280,28 @@ def main_text(page: list, own: frozenset[tuple[str, str]]) -> str:
 
     A container of nothing but the host's own texts is taken whole: its pages are near copies of one article.
     """
-    for kind in containers(page):
-        if text := _blocks(page, kind, own) or _blocks(page, kind, frozenset()):
+    for held in containers(page, own).values():
+        if text := _blocks(page, held, own) or _blocks(page, held, frozenset()):
             return text
     return _blocks(page, None, own)
 
 
-def _blocks(page: list, kind: str | None, own: frozenset[tuple[str, str]]) -> str:
-    """Texts inside the container, without other parts and the host's own texts."""
+def _blocks(page: list, held: set[int] | None, own: frozenset[tuple[str, str]]) -> str:
+    """Texts inside the containers, or on the whole page, without other parts and the host's own texts."""
     out: list[str] = []
 
     def walk(node: list, path: str, inside: bool) -> None:
         for child in node[1]:
+            below = f"{path}/{child[0]}"
             if child[0] == TEXT:
                 if inside and (path, child[1]) not in own:
                     out.append(child[1])
-            elif not _other(child[0], inside and kind is not None):
-                walk(child, f"{path}/{child[0]}", inside or kind in _names(child[0]))
+            elif held is not None and (not inside or id(child) in held):
+                walk(child, below, inside or id(child) in held)
+            elif not _other(child, below, held is not None, own):
+                walk(child, below, True)
 
-    walk(page, page[0], kind is None)
+    walk(page, page[0], held is None)
     return "\n\n".join(out)
 
 

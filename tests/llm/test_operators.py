@@ -334,6 +334,31 @@ def test_wrappers_drop_the_texts_of_a_host(spark):
         assert r.text == "\n\n".join((f"title {r.page_id}", *shown))
 
 
+def test_wrappers_keep_texts_in_elements_named_by_chance(spark):
+    body, whole = "<h1>title</h1><p>some text", "title\n\nsome text"
+    links = "<div class='post-related'><ul><li><a href=/x>More</a><li><a href=/y>And more</a></ul></div>"
+    cases = {
+        f"<body class='has-sidebar'><article>{body}</article>": whole, f"<body class='nav-open'><div>{body}</div>": whole,
+        f"<article class='post comments-open'>{body}</article>": whole, f"<main id='social-history'>{body}</main>": whole,
+        f"<div class='layout-sidebar'><article>{body}</article></div>": whole, f"<form><main>{body}</main></form>": whole,
+        f"<article>{body}<section class='related-work'><p>as others</section></article>": whole + "\n\nas others",
+        f"<article>{body}<figure><img><figcaption>a figure</figcaption></figure><address>who</address></article>": whole + "\n\na figure\n\nwho",
+        f"<article>{body} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></article>": whole + " x=2",
+        f"<article>{body}{links}</article>": whole, f"<div class='main-nav'>{links}</div><main>{body}</main>": whole,
+        f"<article>{body}<div class='comments'><article class='comment'>spam</article></div></article>": whole,
+    }
+    rows = [(i, f"http://host{i}/", page) for i, page in enumerate(cases)]
+    got = {r.html: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == cases
+
+
+def test_wrappers_confirm_a_name_by_the_texts_of_the_host(spark):
+    page = "<article><p>text {0}<div class='join-newsletter'><p>Write to us</div><section class='related-work'><p>see {0}</section></article>"
+    rows = [(i, "http://a.b/", page.format(i)) for i in range(8)]
+    for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text == f"text {r.page_id}\n\nsee {r.page_id}"
+
+
 def test_wrapper_inference():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><div>ad</div><p>y</p><p>z</p>"]
     wrapper, codes = wrappers.infer(pages), {}
