@@ -278,6 +278,22 @@ def test_packing(odd, documents, none):
     assert packing.packed(none, queries.vocabulary()).count() == 0
 
 
+def test_packing_of_special_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}x", f"  {mark}\n\n{mark}  \n y", f"it's  {mark}'s  ", "<|endoftext", f"é{mark}é " * 900]
+    want = {t: plain.encode(t, add_special_tokens=False).ids for t in texts}
+    assert want[texts[0]] == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = collections.defaultdict(bytes)
+    for r in sorted(packing.packed(docs, queries.vocabulary()).collect(), key=lambda r: (r.doc_id, r.piece)):
+        got[texts[r.doc_id]] += r.ids
+    assert {t: np.frombuffer(ids, "<u4").tolist() for t, ids in got.items()} == {t: [*ids, 0] for t, ids in want.items()}
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 500, 20_000])
 def test_packing_plan(n):
     rng = np.random.default_rng(n)
