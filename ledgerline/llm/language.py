@@ -1,7 +1,8 @@
 """Language ID: script ranges narrow the candidates, then Viterbi over per-word scores labels spans.
 
 A word's score for a language is the log probability of its byte trigrams, counted in Spark over every
-labelled training row. Scripts that a language practically never uses rule it out for a word. Viterbi
+labelled training row. Scripts that a language practically never uses rule it out for a word, unless no
+language uses any script of the text. Viterbi
 with a penalty for each switch turns word scores into spans; the language of most letters wins.
 """
 
@@ -23,23 +24,15 @@ SCRIPT_SHARE = 0.01
 SMOOTHING = 0.5
 RULED_OUT = np.float32(-60.0)
 HELD_SCORES = 8_000_000
-# First and last code point of the letters of a script (fixed values of the Unicode blocks).
-SCRIPTS = {
-    "latin": ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F), (0x1E00, 0x1EFF)),
-    "greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
-    "cyrillic": ((0x400, 0x52F),),
-    "armenian": ((0x531, 0x587),),
-    "hebrew": ((0x5D0, 0x5EA),),
-    "arabic": ((0x620, 0x64A), (0x66E, 0x6D3), (0x750, 0x77F)),
-    "devanagari": ((0x900, 0x97F),),
-    "bengali": ((0x980, 0x9FF),),
-    "tamil": ((0xB80, 0xBFF),),
-    "thai": ((0xE00, 0xE7F),),
-    "georgian": ((0x10A0, 0x10FF),),
-    "kana": ((0x3040, 0x30FF),),
-    "han": ((0x3400, 0x4DBF), (0x4E00, 0x9FFF)),
-    "hangul": ((0x1100, 0x11FF), (0xAC00, 0xD7A3)),
-}
+# Letters are those of Unicode's category L. Scripts by the first word of a letter's Unicode name (fixed values); letters of
+# other names share the remaining bits, a name to a bit as long as there are enough.
+SCRIPTS = (
+    "LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "HEBREW", "ARABIC", "DEVANAGARI", "BENGALI", "TAMIL", "THAI", "GEORGIAN", "KANA",
+    "CJK", "HANGUL",
+)
+SAME_SCRIPT = {"HIRAGANA": "KANA", "KATAKANA": "KANA", "KATAKANA-HIRAGANA": "KANA", "IDEOGRAPHIC": "CJK"}
+SCRIPT_BITS = 64
+CODES = 0x32400  # no letters beyond
 
 
 @dataclass
@@ -52,22 +45,48 @@ class LanguageModel:
 
 
 def _script_table() -> np.ndarray:
-    """Script bit of a letter by its first two UTF-8 bytes (second byte free for ASCII), else 0.
-
-    Two bytes name a block of 64 code points from U+0800 on, finer than the ranges need.
-    """
-    table = np.zeros((256, 256), np.uint32)
-    for bit, ranges in enumerate(SCRIPTS.values()):
-        for low, high in ranges:
-            for code in range(low, high + 1):
-                raw = chr(code).encode()
-                table[raw[0], raw[1] if len(raw) > 1 else slice(None)] |= 1 << bit
-    return table.ravel()
+    """One more than the script bit of every code point that is a letter, else 0."""
+    import unicodedata
+
+    table = np.zeros(CODES, np.uint8)
+    bits = {name: bit for bit, name in enumerate(SCRIPTS)}
+    for code in range(CODES):
+        char = chr(code)
+        if not unicodedata.category(char).startswith("L"):
+            continue
+        first, *rest = unicodedata.name(char, "CJK").split(" ")
+        if first in ("FULLWIDTH", "HALFWIDTH"):
+            first = rest[0]
+        first = SAME_SCRIPT.get(first, first)
+        others = SCRIPT_BITS - len(SCRIPTS)
+        bit = bits.setdefault(first, len(SCRIPTS) + (len(bits) - len(SCRIPTS)) % others)
+        table[code] = bit + 1
+    return table
+
+
+def _script_bits(script: np.ndarray) -> np.ndarray:
+    """The mask of each script of ``_script_table``."""
+    masks = np.concatenate([[0], np.uint64(1) << np.arange(SCRIPT_BITS, dtype=np.uint64)]).astype(np.uint64)
+    return masks[script]
+
+
+def _letter_scripts(c: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """By the first byte of every UTF-8 letter its value in ``table``; 0 at all other bytes."""
+    out = np.where(c < 0x80, table[np.minimum(c, 0x7F)], 0).astype(np.uint8)
+    for low, high, size in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0xF8, 4)):
+        at = np.flatnonzero((c >= low) & (c < high))
+        at = at[at + size <= len(c)]
+        code = c[at] - np.uint32(low)
+        for i in range(1, size):
+            code = (code << np.uint32(6)) | (c[at + i] & np.uint32(0x3F))
+        known = code < len(table)
+        out[at[known]] = table[code[known]]
+    return out
 
 
 def _grams(column, table: np.ndarray):
     """Of a piece of texts: the words' bytes, where each word begins, each row's first word, the trigram
-    bucket of every byte (a word's last is its closing space) and the script bit of every letter."""
+    bucket of every byte (a word's last is its closing space) and the script of every letter, 0 elsewhere."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -80,8 +99,7 @@ def _grams(column, table: np.ndarray):
     a[b == 32] = 32  # nothing of the word before
     code = (a << np.uint32(16)) | (b << np.uint32(8)) | c
     buckets = (code * np.uint32(0x9E3779B1)) >> np.uint32(16)
-    following = np.append(c[1:], np.uint32(32))[: len(c)]
-    return room, first, buckets, table[(c << np.uint32(8)) | following]
+    return room, first, buckets, _letter_scripts(c, table)
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
@@ -102,10 +120,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageMod
                 room, first, buckets, script = _grams(piece, table)
                 cuts = room[first]
                 for i in np.flatnonzero(np.diff(cuts)):
-                    own = totals.setdefault(labels[row + i], np.zeros(BUCKETS + 32, np.int64))
+                    own = totals.setdefault(labels[row + i], np.zeros(BUCKETS + SCRIPT_BITS, np.int64))
                     own[:BUCKETS] += np.bincount(buckets[cuts[i] : cuts[i + 1]], minlength=BUCKETS)
-                    bits = script[cuts[i] : cuts[i + 1]]
-                    own[BUCKETS:] += np.bincount(np.log2(bits[bits > 0]).astype(int), minlength=32)
+                    own[BUCKETS:] += np.bincount(script[cuts[i] : cuts[i + 1]], minlength=SCRIPT_BITS + 1)[1:]
                 row += len(piece)
         for name, own in totals.items():
             place = np.flatnonzero(own)
@@ -126,17 +143,20 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageMod
         .toPandas()
     )
     languages = sorted(rows["lang"].unique())
-    counts = np.zeros((BUCKETS + 32, len(languages)))
+    counts = np.zeros((BUCKETS + SCRIPT_BITS, len(languages)))
     at = {name: i for i, name in enumerate(languages)}
     counts[rows["place"].to_numpy(int), rows["lang"].map(at).to_numpy(int)] = rows["n"]
     grams, letters = counts[:BUCKETS] + SMOOTHING, counts[BUCKETS:]
     usual = letters >= SCRIPT_SHARE * np.maximum(letters.sum(0), 1)
-    masks = (usual * (2 ** np.arange(32))[:, None]).sum(0).astype(np.uint32)
+    masks = np.bitwise_or.reduce(np.where(usual, _script_bits(np.arange(1, SCRIPT_BITS + 1))[:, None], np.uint64(0)), axis=0)
     return LanguageModel(languages, np.log(grams / grams.sum(0)).astype(np.float32), masks)
 
 
 def _word_scores(piece, model: LanguageModel, table: np.ndarray):
-    """Each row's number of words; each word's scores, letters, and whether a language can be told from it."""
+    """Each row's number of words; each word's scores, letters, and whether a language can be told from it.
+
+    Where no word of a row is in a script of any language, all its words are scored against all languages.
+    """
     room, first, buckets, script = _grams(piece, table)
     n = len(room) - 1
     scores = np.zeros((n, len(model.languages)), np.float32)
@@ -144,8 +164,11 @@ def _word_scores(piece, model: LanguageModel, table: np.ndarray):
         return np.diff(first), scores, np.zeros(0, int), np.zeros(0, bool)
     begin = room[:-1]
     letters = np.add.reduceat((script > 0).astype(np.int64), begin)
-    masks = np.bitwise_or.reduceat(script, begin)
+    masks = np.bitwise_or.reduceat(_script_bits(script), begin)
     admitted = (masks[:, None] & model.scripts[None, :]) > 0
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    known = np.bincount(row[admitted.any(1)], minlength=len(first) - 1) > 0
+    admitted[~known[row] & (letters > 0)] = True
     told = admitted.any(1)
     for i in range(len(model.languages)):
         scores[:, i] = np.add.reduceat(model.scores[buckets, i], begin)
@@ -193,8 +216,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", switch: f
     """``docs`` with lang_pred and score, and with ``spans`` an array of (first word, end word, language).
 
     The predicted language is that of most letters of the whole text (ties: the first by name); score is
-    its share of all letters. A null text, one without letters or only in scripts no language uses is
-    ``und`` with score 0. Repeated rows are predicted alike. Predictions use the text only. Columns of ``docs``
+    its share of all letters. A null text or one without letters is ``und`` with score 0; one
+    only in scripts that no language uses is scored against all languages. Repeated rows are predicted alike. Predictions use the text only. Columns of ``docs``
     named like the new ones are replaced.
     """
     from pyspark.sql import types as T

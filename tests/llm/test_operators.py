@@ -233,6 +233,24 @@ def test_language_spans(spark, documents):
     assert [s.lang for s in spans] == ["en", "de"] and abs(spans[0].end - 30) <= 2
 
 
+def test_language_of_every_script(spark):
+    """Labelled languages in any script are told; ``und`` is left to texts without letters."""
+    blocks = {
+        "te": 0xC05, "gu": 0xA95, "pa": 0xA15, "kn": 0xC95, "ml": 0xD15, "si": 0xD9A, "lo": 0xE94, "km": 0x1780, "my": 0x1000, "am": 0x1208,
+        "ff": 0x1E922, "th": 0xE01, "zh": 0x4E00,
+    }
+    word = lambda start, i: "".join(chr(start + (i * 3 + k * k) % 6) for k in range(5))
+    rows = [(f"{lang} {i}", " ".join(word(start, i + k) for k in range(12)), lang) for lang, start in blocks.items() for i in range(6)]
+    rows += [(f"en {i}", "the cat sat on the mat and it was warm there", "en") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    got = language.predict(docs, language.fit(docs)).collect()
+    assert all(r.lang_pred == r.lang and r.score == 1.0 for r in got) and len(got) == len(rows)
+    latin = language.fit(docs.where("lang = 'en'"))
+    assert all(r.lang_pred == "en" and r.score == 1.0 for r in language.predict(docs, latin).collect())
+    bare = spark.createDataFrame([(1, "1 2 3 ."), (2, "\u0967\u0968 \u0964"), (3, None), (4, "")], "doc_id long, text string")
+    assert {(r.lang_pred, r.score) for r in language.predict(bare, latin).collect()} == {("und", 0.0)}
+
+
 def test_viterbi():
     from itertools import product
 
