@@ -127,7 +127,7 @@ def _(spark, sf):
         spark,
         md.fit_and_score(
             "BoostedTrees", "baseline", md.fit_boosted, train, val, _NUMBERS, "label",
-            trees=10, max_depth=5, row_share=0.8, column_share=0.8, scheme="ratio",
+            trees=300, max_depth=5, row_share=0.8, column_share=0.8, scheme="ratio",
         ),
     )
 
@@ -139,7 +139,7 @@ def _(spark, sf):
         spark,
         md.fit_and_score(
             "HistogramBoostedTrees", "baseline", md.fit_boosted, train, val, _NUMBERS, "label",
-            trees=10, max_depth=5, max_bins=256, min_leaf=20, scheme="inverse",
+            trees=200, max_depth=5, max_bins=256, min_leaf=20, scheme="inverse",
         ),
     )
 
@@ -172,7 +172,7 @@ def _(spark, sf):
 @query("tree_search", "L8 L3")
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
-    found = md.search("DecisionTree", md.tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=4)
+    found = md.search("DecisionTree", md.tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=50)
     return spark.createDataFrame(
         [(t["trial"], t["max_depth"], t["min_leaf"], t["criterion"], t["auc"]) for t in found.trials],
         "trial int, max_depth int, min_leaf int, criterion string, val_auc_roc double",
@@ -184,8 +184,8 @@ def _(spark, sf):
     train, val, _ = _parts(spark, sf)
     fitted = [
         md.fit_and_score("LogisticRegression", "baseline", md.fit_logistic, train, val, _NUMBERS, "label"),
-        md.fit_and_score("DecisionTree", "tuned", md.fit_tree, train, val, _NUMBERS, "label", max_depth=8, min_leaf=20),
-        md.fit_and_score("BoostedTrees", "tuned", md.fit_boosted, train, val, _NUMBERS, "label", trees=5, max_depth=4),
+        md.search("DecisionTree", md.tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=50),
+        md.search("BoostedTrees", md.boosted, md.BOOSTED_SPACE, train, val, _NUMBERS, "label", trials=50, scheme="ratio"),
     ]
     path = shared_path(spark, "best-model")
     md.save_model(md.best_tuned(fitted).model, path)
@@ -201,8 +201,8 @@ def _(spark, sf):
 def _(spark, sf):
     train, val, _ = _parts(spark, sf)
     path = shared_path(spark, "runs")
-    for depth in (3, 6):
-        fitted = md.fit_and_score("DecisionTree", "tuned", md.fit_tree, train, val, _NUMBERS, "label", max_depth=depth)
+    for seed in (42, 43):
+        fitted = md.search("DecisionTree", md.tree, md.TREE_SPACE, train, val, _NUMBERS, "label", trials=50, seed=seed)
         md.append_runs(spark, [fitted], path)
     runs = spark.read.parquet(path)
     return runs.select("run_name", "is_best", F.col("params")["max_depth"].alias("max_depth"), F.col("metrics")["val_auc_roc"].alias("val_auc_roc"))
