@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import cover_tree, language, mixing, packing, quantised, repeats, secret_scan, sharding, simhash, wrappers
+from ledgerline.llm import (
+    cover_tree, language, manifest, mixing, oracle, packing, quantised, repeats, secret_scan, sharding, simhash, wrappers,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_merkle_manifest": oracle.MERKLE_MANIFEST}
 
 
 def query(fn):
@@ -105,3 +107,8 @@ def op9_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
