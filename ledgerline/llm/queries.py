@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    cover_tree, language, manifest, mixing, oracle, packing, quantised, repeats, secret_scan, sharding, simhash, wrappers,
+    codebooks, cover_tree, language, manifest, mixing, oracle, packing, quantised, repeats, secret_scan, sharding, simhash, winnowing,
+    wrappers,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op12_merkle_manifest": oracle.MERKLE_MANIFEST}
+SQL: dict[str, str] = {
+    "op1_cover_tree_top_k": oracle.TOP_K,
+    "op7_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op11_vector_code_compression": oracle.VECTOR_CODES,
+    "op12_merkle_manifest": oracle.MERKLE_MANIFEST,
+}
 
 
 def query(fn):
@@ -109,6 +115,20 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64("fingerprint").alias("fingerprint"), "component_id")
 
 
+@query
+def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.coded(*codebooks.compress(table(spark, sf_dir, "embeddings")))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), winnowing.listed(F.col("fingerprint")).alias("fingerprint"),
+        winnowing.listed(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )

@@ -12,7 +12,7 @@ from ledgerline.llm.store import stored
 def test_registered():
     import __spark_entry__
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert {"pipeline", *queries.QUERIES} <= set(__spark_entry__.queries())
 
 
