@@ -56,11 +56,13 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_DIGIT = re.compile(r"\d")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def parse(page: str) -> list:
-    """The page as a tree of [symbol, children]; a text is [TEXT, string, whether all of it is links]. Symbols hold name, class, id and role.
+    """The page as a tree of [symbol, children]; a text is [TEXT, string, whether all of it is links]. Symbols hold name, class, id and role,
+    without the words that hold a digit: those number a page or an element and differ where the template is one.
 
     Comments, scripts and other raw elements are gone, inline tags too; a line break is white space.
     Missing closing tags are supplied as browsers do.
@@ -69,6 +71,7 @@ def parse(page: str) -> list:
     stack = [root]
     text: list[str] = []
     link, linked = False, True
+    unseen: list[str] = []  # open elements within another part that lies too deep for the tree
 
     def flush() -> None:
         nonlocal linked
@@ -79,6 +82,8 @@ def parse(page: str) -> list:
         linked = True
 
     for m in _TOKEN.finditer(page):
+        if m["text"] is not None and unseen:
+            continue
         if m["text"] is not None:
             text.append(m["text"])
             linked = linked and (link or not m["text"].strip())
@@ -92,6 +97,13 @@ def parse(page: str) -> list:
             if name == "a":
                 link = not m["close"]
             continue
+        if unseen or (len(stack) >= MOST_DEPTH and name in OTHER_PARTS and not m["close"]):
+            flush()
+            if not m["close"]:
+                unseen += [name] if name not in VOID else []
+            elif name in unseen:
+                del unseen[len(unseen) - 1 - unseen[::-1].index(name) :]
+            continue
         flush()
         if m["close"]:
             for depth in range(len(stack) - 1, 0, -1):
@@ -99,12 +111,12 @@ def parse(page: str) -> list:
                     del stack[depth:]
                     break
             continue
-        names = " ".join("".join(x) for x in _NAMED.findall(m["rest"] or ""))
+        names = " ".join(w for x in _NAMED.findall(m["rest"] or "") for w in "".join(x).split() if not _DIGIT.search(w))
         if name in CLOSES_P and stack[-1][0].split(" ")[0] == "p" or name in CLOSES_SAME and stack[-1][0].split(" ")[0] == name:
             stack.pop()
         node = [f"{name} {names.lower()}".strip(), []]
         stack[-1][1].append(node)
-        # Deeper elements stand side by side in the deepest one; their texts stay.
+        # Deeper elements stand side by side in the deepest one; their texts stay, but for those of other parts.
         if name not in VOID and not (m["rest"] or "").endswith("/") and len(stack) < MOST_DEPTH:
             stack.append(node)
     flush()
@@ -153,19 +165,33 @@ def infer(pages: list[str]) -> list:
     return wrapper if wrapper is not None else ["#root", False, False, []]
 
 
-def expression(wrapper: list, codes: dict[str, str]) -> str:
-    """The wrapper as a regular expression over one character per symbol, with ) for the end of an element."""
-    code = codes.setdefault(wrapper[0], chr(0xE000 + len(codes)))
-    body = code if wrapper[0] == TEXT else code + "".join(expression(c, codes) for c in wrapper[3]) + r"\)"
-    if wrapper[2]:
-        return f"(?:{body}){'*' if wrapper[1] else '+'}"
-    return f"(?:{body})?" if wrapper[1] else body
+def covers(wrapper: list, page: list) -> bool:
+    """Whether the wrapper, as a regular expression over symbols, matches the whole page.
 
+    Both trees are walked together. The children of an element are read once, with the set of places that the wrapper's
+    children may have reached, and each pair of a wrapper's and a page's element is compared at most once.
+    """
+    known: dict[tuple[int, int], bool] = {}
+
+    def skipped(items: list, places: set[int]) -> set[int]:
+        for i in sorted(places):
+            while i < len(items) and items[i][1]:
+                i += 1
+                places.add(i)
+        return places
+
+    def fits(own: list, x: list) -> bool:
+        if own[0] != x[0] or own[0] == TEXT:
+            return own[0] == x[0]
+        if (id(own), id(x)) not in known:
+            items, places = own[3], skipped(own[3], {0})
+            for child in x[1]:
+                found = {i for i in places if i < len(items) and fits(items[i], child)}
+                places = skipped(items, {i + 1 for i in found} | {i for i in found if items[i][2]})
+            known[id(own), id(x)] = len(items) in places
+        return known[id(own), id(x)]
 
-def stream(node: list, codes: dict[str, str]) -> str:
-    """A page in the alphabet of ``expression``; unknown symbols match nothing."""
-    code = codes.get(node[0], "\0")
-    return code if node[0] == TEXT else code + "".join(stream(c, codes) for c in node[1]) + ")"
+    return fits(wrapper, page)
 
 
 def _names(symbol: str) -> list[str]:
@@ -346,10 +372,9 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", per_host: in
                 tree = parse(page or "")
                 if host_name not in compiled:
                     wrapper = json.loads(raw) if raw else infer([])
-                    codes: dict[str, str] = {}
-                    compiled[host_name] = (wrapper, re.compile(expression(wrapper, codes)), codes, frozenset(counted or ()), constants(wrapper))
-                wrapper, pattern, codes, shared, roles = compiled[host_name]
-                if not pattern.fullmatch(stream(tree, codes)):
+                    compiled[host_name] = (wrapper, frozenset(counted or ()), constants(wrapper))
+                wrapper, shared, roles = compiled[host_name]
+                if not covers(wrapper, tree):
                     roles = constants(_aligned(wrapper, generalised(tree)))
                 texts.append(main_text(tree, own_texts(tree, shared, *roles)))
             kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
