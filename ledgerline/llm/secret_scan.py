@@ -18,6 +18,7 @@ from ledgerline.llm.store import join_small, stored
 MOST_STRINGS = 32
 GRAMS_PER_MASK = 62
 MARK = "[SECRET]"
+CHUNK = 256  # matches that are folded before they join those before them
 
 
 @dataclass(frozen=True)
@@ -153,6 +154,25 @@ def candidates(index: DataFrame, queries: dict[str, list[Alternatives]], wanted:
     return masks.select("text_key", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+def _in_chunks(items: Column, start: Column, step, joined) -> Column:
+    """``aggregate`` that copies what it has built once per ``CHUNK`` items instead of once per item.
+
+    State is a struct of ``at`` and ``out``; ``joined`` puts an ``out`` behind another.
+    """
+
+    def whole(state: Column, chunk: Column) -> Column:
+        part = F.aggregate(chunk, F.struct(state["at"].alias("at"), start["out"].alias("out")), step)
+        return F.struct(part["at"].alias("at"), joined(state["out"], part["out"]).alias("out"))
+
+    def folded(held: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(held) - 1) / CHUNK).cast("int"))
+        chunks = F.when(F.size(held) > 0, F.transform(starts, lambda c: F.slice(held, c * CHUNK + 1, F.lit(CHUNK))))
+        return F.coalesce(F.aggregate(chunks, start, whole), start)
+
+    # As an argument, so that the items are worked out once.
+    return F.transform(F.array(items), folded)[0]
+
+
 def _spans(rule: Rule, order: int, text: Column) -> Column:
     """array<struct<start,order,end>> of the rule's matches in code points, from the pieces between them."""
     pieces = F.split(text, rule.pattern, -1)
@@ -168,7 +188,7 @@ def _spans(rule: Rule, order: int, text: Column) -> Column:
         keep = x["m"].isNotNull() & (F.length(x["v"]) >= rule.least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(state["out"], found)).otherwise(state["out"]).alias("out"))
 
-    return F.aggregate(zipped, empty, step, lambda s: s["out"])
+    return _in_chunks(zipped, empty, step, F.concat)["out"]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -215,5 +235,6 @@ def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
             F.greatest(state["at"], s["end"]).alias("at"), F.when(apart, between).otherwise(state["out"]).alias("out")
         )
 
-    joined = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1)))
+    built = _in_chunks(spans, start, step, F.concat)
+    joined = F.concat(built["out"], F.substr(text, built["at"] + 1))
     return F.when(F.size(spans) == 0, text).otherwise(joined)

@@ -395,11 +395,74 @@ def test_wrappers_confirm_a_name_by_the_texts_of_the_host(spark):
 
 def test_wrapper_inference():
     pages = ["<ul><li>a</li><li>b</li></ul><p>x</p>", "<ul><li>a</li></ul><div>ad</div><p>y</p><p>z</p>"]
-    wrapper, codes = wrappers.infer(pages), {}
-    pattern = wrappers.expression(wrapper, codes)
+    wrapper = wrappers.infer(pages)
     for page in [*pages, "<ul><li>1</li><li>2</li><li>3</li></ul><p>q</p>"]:
-        assert re.fullmatch(pattern, wrappers.stream(wrappers.parse(page), codes))
-    assert not re.fullmatch(pattern, wrappers.stream(wrappers.parse("<p>q</p><ul><li>1</li></ul>"), codes))
+        assert wrappers.covers(wrapper, wrappers.parse(page))
+    for page in ("<p>q</p><ul><li>1</li></ul>", "<ul><li>1</li></ul>", "<ul><li>1</li></ul><p>q</p><div>ad</div>", "<ul></ul><p>q</p>"):
+        assert not wrappers.covers(wrapper, wrappers.parse(page))
+
+
+def test_wrapper_covers_what_its_expression_matches():
+    """The walk over both trees against Python's regular expressions, on small random trees."""
+    rng = np.random.default_rng(8)
+
+    def page(depth):
+        return "".join(f"<{t}>{page(depth - 1) if depth else ''}</{t}>" for t in rng.choice(["div", "section", "ul"], rng.integers(0, 4)))
+
+    def expression(w):
+        if w[0] == wrappers.TEXT:
+            return "x" + ("?" if w[1] else "")
+        body = "(?:" + re.escape(w[0]) + "<" + "".join(map(expression, w[3])) + ">)"
+        return body + {(False, False): "", (True, False): "?", (False, True): "+", (True, True): "*"}[bool(w[1]), bool(w[2])]
+
+    def written(x):
+        return "x" if x[0] == wrappers.TEXT else x[0] + "<" + "".join(map(written, x[1])) + ">"
+
+    seen = collections.Counter()
+    for _ in range(300):
+        wrapper, tree = wrappers.infer([page(2) for _ in range(3)]), wrappers.parse(page(2))
+        matched = re.fullmatch(expression(wrapper), written(tree)) is not None
+        assert wrappers.covers(wrapper, tree) == matched
+        seen[matched] += 1
+    assert min(seen.values()) > 5
+
+
+def test_wrappers_of_long_mixed_pages_do_not_backtrack():
+    import time
+
+    kinds = ("p", "h2", "ul", "table", "blockquote", "pre")
+    rng = np.random.default_rng(3)
+    pages = ["".join(f"<{k}>{i}</{k}>" for i, k in enumerate(rng.choice(kinds, 40))) for _ in range(12)]
+    wrapper = wrappers.infer(pages)
+    started = time.monotonic()
+    for _ in range(20):
+        tree = wrappers.parse("".join(f"<{k}>x</{k}>" for k in rng.choice(kinds, 80)) + "<section>one more</section>")
+        assert not wrappers.covers(wrapper, tree)
+    assert time.monotonic() - started < 2
+
+
+def test_wrappers_across_numbered_names(spark):
+    """Names that number a page or an element don't hide the template; deep menus stay out."""
+    page = "<body class='single postid-{0}'><article id='post-{0}'><h1>title {0}</h1><div><p>Members read more.</div><p>text {0}<p>All rights reserved.</article>"
+    deep = "<div>" * 160 + "<nav><ul><li>menu</ul></nav>" + "<p>text 99</p>"
+    rows = [(i, "http://a.b/", page.format(i)) for i in range(8)] + [(99, "http://c.d/", deep)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"title {i}\n\ntext {i}" for i in range(8)) and got[99] == "text 99"
+
+
+def test_secrets_of_very_many_matches(spark):
+    import time
+
+    n = 100_000
+    docs = spark.createDataFrame([(1, "token=abcdef " * n), (2, "token=abcdef " * 256), (3, "x")], "doc_id long, text string")
+    started = time.monotonic()
+    found = secret_scan.scan(docs).select("doc_id", "text", "secrets")
+    clean = found.select("doc_id", F.size("secrets").alias("n"), F.get("secrets", F.lit(n - 1))["start"].alias("last"),
+                         F.sha2(secret_scan.redacted(F.col("text"), F.col("secrets")), 256).alias("sha"))
+    got = {r.doc_id: r for r in clean.collect()}
+    assert time.monotonic() - started < 60
+    assert (got[1].n, got[1].last, got[2].n, got[3].n) == (n, 13 * (n - 1), 256, 0)
+    assert got[1].sha == hashlib.sha256(("[SECRET] " * n).encode()).hexdigest()
 
 
 def test_secrets(spark, odd, documents, none):
