@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import quote_name
 from ledgerline.functions.quantiles import exact_quantiles
+from ledgerline.operators.ensembles import TreeTable, importance, node_rows
 from ledgerline.operators.evaluate import evaluate, ranking_metrics
 from ledgerline.operators.ranking import best_row
 
@@ -159,8 +161,10 @@ def fit_boosted(
     return _fit(train, features, label, scheme, boosted(label, **params))
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def predict(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns and the probability of the positive class."""
+    if hasattr(model, "predict"):
+        return model.predict(df, keep)
     return model.transform(df).select(
         *[F.col(quote_name(c)) for c in keep], vector_to_array("probability")[1].alias(SCORE)
     )
@@ -168,9 +172,9 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFra
 
 # Cross-validation.
 
-def fold_draw(key: str, seed: int = 42) -> Column:
+def fold_draw(*key: str, seed: int = 42) -> Column:
     """The number that decides a row's fold: a hash of the key, exact as a double."""
-    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2**52)).cast("double").alias(DRAW)
+    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(quote_name(k)) for k in key]), F.lit(2**52)).cast("double").alias(DRAW)
 
 
 def with_fold(rows: DataFrame, label: str, folds: int) -> DataFrame:
@@ -188,7 +192,7 @@ def with_fold(rows: DataFrame, label: str, folds: int) -> DataFrame:
     return rows.withColumn(FOLD, F.when(F.col(label) == 1, fold(1)).otherwise(fold(0)))
 
 
-def _map_parallel(spark: SparkSession, task: Callable, items: Sequence, parallelism: int) -> list:
+def map_parallel(spark: SparkSession, task: Callable, items: Sequence, parallelism: int) -> list:
     with ThreadPool(max(1, parallelism)) as pool:
         return pool.map(inheritable_thread_target(spark)(task), items)
 
@@ -221,7 +225,7 @@ def cross_validate_logistic(
             scored = held.select(F.col(label).cast("int").alias(label), vector_to_array("probability")[1].alias(SCORE))
             return c, ranking_metrics(scored, SCORE, label).first()["auc_roc"]
 
-        aucs = _map_parallel(spark, run, [(c, f) for c in cs for f in sorted(totals)], parallelism)
+        aucs = map_parallel(spark, run, [(c, f) for c in cs for f in sorted(totals)], parallelism)
         table = []
         for c in cs:
             own = [a for k, a in aucs if k == c]
@@ -254,7 +258,7 @@ class CalibratedSvm:
         return rows.select(*[F.col(quote_name(c)) for c in keep], mean.alias(SCORE))
 
 
-def _sigmoid(margins: DataFrame, label: str) -> tuple[float, float]:
+def sigmoid(margins: DataFrame, label: str) -> tuple[float, float]:
     """Slope and intercept of the calibration, with smoothed targets.
 
     A smoothed target t is a positive row of weight t and a negative row of weight 1 - t.
@@ -294,9 +298,9 @@ def fit_calibrated_svm(
             ).fit(rows.filter(F.col(FOLD) != fold))
             held = svc.transform(rows.filter(F.col(FOLD) == fold))
             margins = held.select(label, vector_to_array("rawPrediction")[1].alias("margin"))
-            return (svc, *_sigmoid(margins, label))
+            return (svc, *sigmoid(margins, label))
 
-        fitted = _map_parallel(spark, run, sorted(totals), parallelism)
+        fitted = map_parallel(spark, run, sorted(totals), parallelism)
     return CalibratedSvm(list(features), fitted, c)
 
 
@@ -365,8 +369,7 @@ RESULT_SCHEMA = "model string, type string, val_auc_roc double, val_auc_pr doubl
 @contextmanager
 def scored_once(model, df: DataFrame, keep: Sequence[str]) -> Iterator[DataFrame]:
     """``keep`` and the score, held on the executors so that several metrics share one scoring pass."""
-    scored = model.predict(df, keep) if hasattr(model, "predict") else predict(model, df, keep)
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    scored = predict(model, df, keep).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield scored
     finally:
@@ -422,7 +425,7 @@ def search(
             return ranking_metrics(scored, SCORE, label).first()["auc_roc"]
 
         drawn = draw(space, trials, seed)
-        aucs = _map_parallel(train.sparkSession, run, drawn, parallelism)
+        aucs = map_parallel(train.sparkSession, run, drawn, parallelism)
         seconds = time.monotonic() - started
         best = drawn[max(range(len(aucs)), key=lambda i: aucs[i])]
         model = PipelineModel([assembler(features), make(label, **best, **fixed).fit(rows)])
@@ -443,12 +446,19 @@ def best_model_row(results: DataFrame) -> DataFrame:
     return best_row(results.filter(F.col("type") == "tuned"), "val_auc_roc", ["model"])
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | TreeTable, path: str) -> None:
+    """A pipeline in its own form, a tree table as Parquet below ``path``/nodes."""
+    if isinstance(model, TreeTable):
+        model.save(SparkSession.active(), f"{path}/nodes")
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | TreeTable:
+    try:
+        return TreeTable.load(SparkSession.active(), f"{path}/nodes")
+    except AnalysisException:  # no such folder: not a tree table
+        return PipelineModel.load(path)
 
 
 RUN_SCHEMA = "run_name string, params map<string,string>, metrics map<string,double>, is_best boolean"
@@ -491,11 +501,10 @@ def ablation(
     )
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str], top: int = 20) -> DataFrame:
-    """``(feature, importance)`` of a tree model, largest first."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(features, values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(top)
+def feature_importance(model: PipelineModel | TreeTable, features: Sequence[str], top: int = 20) -> DataFrame:
+    """``(feature, importance)`` of a tree model, largest first, from its node table."""
+    nodes = model.to_frame(SparkSession.active()) if isinstance(model, TreeTable) else node_rows(model, features)
+    return importance(nodes, features).orderBy(F.desc("importance"), "feature").limit(top)
 
 
 def split_metrics(model, df: DataFrame, label: str, split: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import config as cfg
-from ledgerline.operators import clean, features, models, split, timeseries
+from ledgerline.operators import clean, features, models, selection, split, timeseries
 from ledgerline.sources import filtered_loans
 
 
@@ -40,7 +40,7 @@ def gold(
     parts = {name: marked.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test")}
     for name, size in (("train", train_rows), ("val", val_rows)):
         if size is not None:
-            parts[name] = split.stratified_sample(parts[name], size, cfg.TARGET, cfg.SEED)
+            parts[name] = split.stratified_sample(parts[name], size, cfg.TARGET, cfg.SEED, tie_key)
     return parts
 
 
@@ -95,12 +95,4 @@ def select_model(
     train: DataFrame, val: DataFrame, names: Sequence[str], trials: int = 50, label: str = cfg.TARGET
 ) -> list[models.Fitted]:
     """Baseline logistic regression and three searched tree models, on the same rows."""
-    searches = [
-        ("DecisionTree", models.tree, models.TREE_SPACE, {"scheme": "balanced"}),
-        ("BoostedTrees", models.boosted, models.BOOSTED_SPACE, {"scheme": "ratio"}),
-        ("HistogramBoostedTrees", models.boosted, models.HISTOGRAM_BOOSTED_SPACE, {"scheme": "balanced", "max_bins": 256}),
-    ]
-    out = [models.fit_and_score("LogisticRegression", "baseline", models.fit_logistic, train, val, names, label)]
-    for name, make, space, fixed in searches:
-        out.append(models.search(name, make, space, train, val, names, label, trials=trials, **fixed))
-    return out
+    return selection.select_models(train, val, names, label, trials=trials)

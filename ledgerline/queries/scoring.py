@@ -89,6 +89,25 @@ def _(spark, sf):
     return tiers.groupBy("part", "risk_level", "prediction", text.alias("tier")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "risk_texts", "R4",
+    sql=f"""
+    SELECT part, p AS probability, text AS risk_description, count(*) AS n FROM (
+      SELECT part, p, CASE WHEN p < 0.15 THEN 'Very Low' WHEN p < 0.25 THEN 'Low' WHEN p < 0.35 THEN 'Moderate' WHEN p < 0.5 THEN 'High' ELSE 'Very High' END
+        || ' risk (' || format('{{:.1f}}', p * 100) || '%) — Recommendation: '
+        || CASE WHEN p < 0.25 THEN 'Approve' WHEN p < 0.35 THEN 'Review' ELSE 'Decline' END AS text
+      FROM (SELECT part, least(floor(fine * 8), 8) / 8e0 AS p FROM {sql(SCORED)} AS s) AS q) AS t
+    GROUP BY ALL
+    """,
+    doubles="probability",
+)
+def _(spark, sf):
+    """The whole text with its percentage, on probabilities of which one decimal says all."""
+    eighths = F.least(F.floor(F.col("fine") * 8), F.lit(8)) / 8.0
+    tiers = sc.with_tier(frame(spark, sf, SCORED).withColumn("probability", eighths), "probability", "linear")
+    return tiers.groupBy("part", "probability", "risk_description").agg(F.count("*").alias("n"))
+
+
 def _scenario_sql() -> str:
     columns = ["term", "int_rate", "fico_score"]
     parts = []
@@ -164,6 +183,23 @@ def _(spark, sf):
     return rates.select("part", sc.baseline_probability(bias).alias("probability"))
 
 
+@query(
+    "baseline_of_two_values", "R7 L1",
+    sql=f"""
+    SELECT round(pos * all_neg * 1e0 / (pos * all_neg + neg * all_pos), 3) AS probability FROM (
+      SELECT x, sum(label) AS pos, count(*) - sum(label) AS neg, sum(sum(label)) OVER () AS all_pos, sum(count(*) - sum(label)) OVER () AS all_neg
+      FROM (SELECT CASE WHEN quantity > 25 THEN 1e0 ELSE 0e0 END AS x, label FROM {sql(LEARNABLE)} AS l) AS r GROUP BY x) AS s
+    WHERE x = 0
+    """,
+    doubles="probability",
+)
+def _(spark, sf):
+    """The bias of a fitted model: what it predicts where its only feature is 0."""
+    rows = frame(spark, sf, LEARNABLE).select(F.when(F.col("quantity") > 25, 1.0).otherwise(0.0).alias("x"), "label")
+    bias = float(md.fit_logistic(rows, ["x"], "label", c=1e12).stages[-1].intercept)
+    return spark.range(1).select(F.round(sc.baseline_probability(bias), 3).alias("probability"))
+
+
 @query("explained_model_scores", "R5 L1 R7")
 def _(spark, sf):
     rows = frame(spark, sf, LEARNABLE)

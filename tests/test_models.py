@@ -71,7 +71,7 @@ def test_search_selection_and_runs(spark, data, tmp_path):
     md.save_model(found.model, str(tmp_path / "model"))
     again = md.validation_metrics(md.load_model(str(tmp_path / "model")), val, "y")
     assert again == found.metrics
-    importance = md.feature_importance(spark, found.model, FEATURES).collect()
+    importance = md.feature_importance(found.model, FEATURES).collect()
     assert {r["feature"] for r in importance[:2]} == {"a", "b"}
 
 

@@ -10,8 +10,10 @@ import pytest
 from ledgerline.queries import REGISTRY
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-# The block search and the wide correlations run numpy inside tasks.
-PYTHON_INSIDE = {"nearest_neighbor_scores", "correlation_matrix_wide"}
+# The block search, the cross products of correlations and the scores of tree tables run numpy inside tasks.
+PYTHON_INSIDE = {
+    "nearest_neighbor_scores", "correlation_matrix", "correlation_matrix_wide", "strongly_correlated_pairs", "top_target_correlations", "node_scores_of_two_values",
+}
 
 
 def plan(spark, sf_dir, name) -> str:
