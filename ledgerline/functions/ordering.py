@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.sizing import broadcast_if_small
+from ledgerline.session import stored
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
 SAMPLE_PER_BUCKET = 1_000
@@ -105,3 +108,20 @@ def running_sums(
         *[(F.col(f"_o_{o}") + F.sum(c).over(within)).alias(o) for o, c in sums.items()],
         *totals,
     )
+
+
+def numbered(df: DataFrame, group: str, order: str) -> DataFrame:
+    """Adds ``pos``: the place of the row in its group by ascending ``order``, from 0; (group, order) is unique.
+
+    One range shuffle sorts all rows; what a group has in earlier ranges is the offset of its rows in a range, so a
+    group that holds all rows is spread like any other.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(ranges, group, order).sortWithinPartitions(group, order)
+    placed = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "ranked").withColumn("_range", F.shiftright("_at", 33))
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per group and range.
+    spans = placed.groupBy(group, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    shifts = spans.select(group, "_range", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    joined = placed.join(broadcast_if_small(shifts), [group, "_range"])
+    return joined.select(*df.columns, (F.col("_at") + F.col("_shift")).alias("pos"))

@@ -1,35 +1,29 @@
 """Exact quantiles and order statistics without sorting or moving the rows.
 
-Spark's ``percentile`` sends every distinct value of a column from every task to one task.
-That suits a column of at most ``PERCENTILE_VALUES`` values, or of at most ``PERCENTILE_ROWS``
-rows. Otherwise up to ``value_limit`` values are counted by a shuffle on the value, and
-larger columns are solved by narrowing:
-
-1. a quantile sketch gives a value interval around the wanted ranks;
-2. one aggregate counts the rows below and inside each interval, which proves that the
-   ranks lie in it (an unproven interval is not used);
-3. the interval is narrowed again until it holds few distinct values; only those, with
-   their counts, are shuffled, and the running count picks the values.
-
-Every step is a map-side combined aggregate; the driver sees a few numbers per rank.
+Quantiles take two scans. The first aggregate holds a KLL sketch of every column beside its moments; the sketch gives a grid
+of values, and with it a narrow interval for every wanted rank. The second scan counts the rows below, between and at the grid's
+values around the ranks, which proves where the ranks lie; the few values between neighbouring ones go along with their
+counts, already summed per task, and only where a rank falls are they put in order. A rank that falls elsewhere gets a wider interval.
+
+Order statistics of any type (dates, text, long integers) narrow an interval around the ranks by sketches, each proven by
+counting, until it holds few distinct values. The driver sees a few numbers per rank.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import as_column, project
-from ledgerline.functions.sizing import kept_if_small
+from ledgerline.functions.numeric import as_column, nan_to_null, project
 
-PERCENTILE_VALUES = 1_000
-PERCENTILE_ROWS = 200_000
-# Values that the percentile buffers of one aggregate may hold together.
-BUFFERED_VALUES = 2_000_000
+SKETCH = 4_096  # ranks of a sketch are off by about 0.13 % of the rows
+GRID = 1_024
+MARGIN = 0.002  # of the rows, on either side of a rank
 VALUE_LIMIT = 100_000
 # Each round narrows an interval to about 4 / ACCURACY of its rows.
 ACCURACY = 1_000
@@ -191,68 +185,131 @@ def order_statistics(
     return found
 
 
-def _packed(sizes: Mapping[str, int]) -> list[list[str]]:
-    """Columns in groups whose values together fit one aggregate."""
-    groups: list[list[str]] = []
-    room = 0
-    for name, size in sizes.items():
-        if size > room:
-            groups.append([])
-            room = BUFFERED_VALUES
-        groups[-1].append(name)
-        room -= size
-    return groups
+def _grid_of(e: Column, sketch: int) -> Column:
+    """The values at ``GRID`` + 1 evenly spaced ranks, the first and last exact; NULL without values."""
+    ranks = F.expr("array(" + ",".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")")
+    return F.when(F.count(e) > 0, F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(e, F.lit(sketch)), ranks))
+
+
+def _held(spot: float, n: int, grid: Sequence[float], margin: float) -> Sequence[float]:
+    """The grid's values around the ranks beside ``spot``."""
+    share = spot / max(n - 1, 1)
+    low, high = max(0, math.floor((share - margin) * GRID)), min(GRID, math.ceil((share + margin) * GRID))
+    return grid[low : high + 1]
 
 
 def exact_quantiles(
-    df: DataFrame,
-    exprs: Mapping[str, Column] | Sequence[str],
-    probabilities: Sequence[float],
-    value_limit: int = VALUE_LIMIT,
-    percentile_rows: int = PERCENTILE_ROWS,
+    df: DataFrame, exprs: Mapping[str, Column] | Sequence[str], probabilities: Sequence[float], sketch: int = SKETCH
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each expression; None for a column without values.
-
-    ``percentile_rows=0`` leaves only columns of few values to the built-in percentile.
-    """
+    """Linearly interpolated quantiles of each expression; None for a column without values. NaN counts as missing."""
     if not isinstance(exprs, Mapping):
         exprs = {c: as_column(c) for c in exprs}
-    if not exprs:
-        return {}
-    df, cols = project(df, {name: e.cast("double") for name, e in exprs.items()})
-    whole = _profile(df, cols)
-    with kept_if_small(df, max(w[0] for w in whole.values())) as held:
-        return _quantiles(held, cols, whole, probabilities, value_limit, percentile_rows)
+    return quantiles_with(df, exprs, probabilities, sketch=sketch)[0]
 
 
-def _quantiles(
+def quantiles_with(
     df: DataFrame,
-    cols: Mapping[str, Column],
-    whole: Mapping[str, tuple],
+    exprs: Mapping[str, Column],
     probabilities: Sequence[float],
-    value_limit: int,
-    percentile_rows: int,
-) -> dict[str, list[float | None]]:
-    out: dict[str, list[float | None]] = {n: [None] * len(probabilities) for n in cols if whole[n][0] == 0}
-
-    few = {
-        n: min(rows, distinct)
-        for n, (rows, _, _, distinct) in whole.items()
-        if rows and (rows <= percentile_rows or distinct <= PERCENTILE_VALUES)
-    }
-    shares = F.array(*[F.lit(float(p)) for p in probabilities])
-    for group in _packed(few):
-        row = df.agg(*[F.percentile(cols[n], shares).alias(f"q{i}") for i, n in enumerate(group)]).first()
-        out.update({n: list(row[i]) for i, n in enumerate(group)})
-
-    many = [n for n in cols if whole[n][0] and n not in few]
-    if many:
-        spots = {n: [p * (whole[n][0] - 1) for p in probabilities] for n in many}
-        ranks = {n: [r for s in spots[n] for r in (math.floor(s), math.ceil(s))] for n in many}
-        found = order_statistics(df, {n: cols[n] for n in many}, ranks, value_limit, {n: whole[n] for n in many})
-        for n in many:
-            out[n] = []
-            for spot in spots[n]:
-                low, high = found[n, math.floor(spot)], found[n, math.ceil(spot)]
-                out[n].append(low + (high - low) * (spot - math.floor(spot)))
-    return out
+    also: Callable[[Column], Column] | None = None,
+    then: Callable[[str, Column, object], Column] | None = None,
+    sketch: int = SKETCH,
+) -> tuple[dict[str, list[float | None]], dict[str, object], dict[str, int]]:
+    """Quantiles of each expression and, from the same two scans, an aggregate of each (``also``) and a count of rows.
+
+    ``then`` gets the name, the expression and the result of ``also``, and gives the condition that is counted.
+    """
+    if not exprs:
+        return {}, {}, {}
+    df, cols = project(df, {name: nan_to_null(e.cast("double")) for name, e in exprs.items()})
+    first = df.agg(
+        F.count("*").alias("rows"), *[F.count(e).alias(f"n{i}") for i, e in enumerate(cols.values())],
+        *[_grid_of(e, sketch).alias(f"g{i}") for i, e in enumerate(cols.values())],
+        *([also(e).alias(f"a{i}") for i, e in enumerate(cols.values())] if also else []),
+    ).first()
+    n = {name: first[f"n{i}"] for i, name in enumerate(cols)}
+    grid = {name: first[f"g{i}"] for i, name in enumerate(cols)}
+    found_first = {name: first[f"a{i}"] for i, name in enumerate(cols)} if also else {}
+    wanted = {name: [p * (n[name] - 1) for p in probabilities] for name in cols if n[name]}
+    counted = {name: then(name, e, found_first.get(name)) for name, e in cols.items()} if then else {}
+
+    values: dict[tuple[str, int], float] = {}
+    found_second: dict[str, int] = dict.fromkeys(counted, 0)
+    margin = MARGIN
+    open_ = {(name, spot) for name, spots in wanted.items() for spot in spots}
+    while open_ or counted:
+        held = {name: [_held(s, n[name], grid[name], margin) for m, s in sorted(open_) if m == name] for name in wanted}
+        ranks = {name: {r for m, s in open_ if m == name for r in (math.floor(s), math.ceil(s))} for name in wanted}
+        picked, flagged = _picked(df, cols, {c: h for c, h in held.items() if h}, ranks, counted)
+        found_second |= flagged
+        counted = {}
+        values |= picked
+        open_ = {(name, s) for name, s in open_ if (name, math.floor(s)) not in values or (name, math.ceil(s)) not in values}
+        margin = margin * 8 + 1 / GRID
+    out: dict[str, list[float | None]] = {}
+    for name in cols:
+        out[name] = [None] * len(probabilities) if not n[name] else []
+        for spot in wanted.get(name, []):
+            low, high = values[name, math.floor(spot)], values[name, math.ceil(spot)]
+            out[name].append(low if low == high else low + (high - low) * (spot - math.floor(spot)))
+    return out, found_first, found_second
+
+
+def _picked(
+    df: DataFrame,
+    cols: Mapping[str, Column],
+    held: Mapping[str, Sequence[Sequence[float]]],
+    ranks: Mapping[str, set[int]],
+    counted: Mapping[str, Column],
+) -> tuple[dict[tuple[str, int], float], dict[str, int]]:
+    """The values at those ranks that fall where ``held`` says, and how often the ``counted`` conditions hold; one scan.
+
+    The held values cut a column into segments, odd ones for the cuts themselves and even ones between them. Each row adds
+    its segment to the count; its value goes along only between neighbouring held values.
+    """
+    cuts = {name: sorted({v for some in h for v in some}) for name, h in held.items()}
+    cells = []
+    for i, (name, own) in enumerate(cuts.items()):
+        e, at = cols[name], {c: k for k, c in enumerate(own)}
+        inner = {2 * k for some in held[name] for k in range(at[some[0]] + 1, at[some[-1]] + 1)}
+        segment = sum(((e > c).cast("int") + (e >= c).cast("int") for c in own[1:]), (e > own[0]).cast("int") + (e >= own[0]).cast("int"))
+        cells.append(F.when(e.isNotNull(), F.struct(F.lit(i).alias("id"), segment.alias("segment"), e.alias("v"), F.lit(sorted(inner)).cast("array<int>").alias("inner"))))
+    for i, condition in enumerate(counted.values()):
+        none = F.lit(None).cast("double")
+        cells.append(F.when(condition, F.struct(F.lit(-1 - i).alias("id"), F.lit(0).alias("segment"), none.alias("v"), F.array().cast("array<int>").alias("inner"))))
+    kept = F.when(F.array_contains("c.inner", F.col("c.segment")), F.col("c.v"))
+    counts = (
+        df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
+        .groupBy(F.col("c.id").alias("id"), F.col("c.segment").alias("segment"), kept.alias("v")).agg(F.count("*").alias("n"))
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # At most a row per segment.
+        totals = sorted((r.id, r.segment, r.n) for r in counts.groupBy("id", "segment").agg(F.sum("n").alias("n")).collect())
+        flagged = dict.fromkeys(counted, 0) | {name: n for i, name in enumerate(counted) for id_, _, n in totals if id_ == -1 - i}
+        values: dict[tuple[str, int], float] = {}
+        within = []
+        for i, (name, own) in enumerate(cuts.items()):
+            inner = {2 * k for some in held[name] for k in range(own.index(some[0]) + 1, own.index(some[-1]) + 1)}
+            reached = 0
+            for _, segment, n in [t for t in totals if t[0] == i]:
+                for rank in ranks[name]:
+                    if reached <= rank < reached + n and segment % 2:
+                        values[name, rank] = own[segment // 2]
+                    elif reached <= rank < reached + n and segment in inner:
+                        within.append((i, segment, rank, rank - reached))
+                reached += n
+        names = list(cuts)
+        return values | {(names[i], rank): v for i, rank, v in _values_at(counts, within)}, flagged
+    finally:
+        counts.unpersist()
+
+
+def _values_at(counts: DataFrame, within: Sequence[tuple[int, int, int, int]]) -> list[tuple[int, int, float]]:
+    """(id, rank, value) for each (id, segment, rank, rank within the segment), from the counts of the segments' values."""
+    if not within:
+        return []
+    wanted = counts.sparkSession.createDataFrame(list(within), "id int, segment int, rank long, within long")
+    running = Window.partitionBy("id", "segment").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    some = counts.join(F.broadcast(wanted.select("id", "segment").distinct()), ["id", "segment"], "left_semi")
+    at = some.withColumn("upto", F.sum("n").over(running)).join(F.broadcast(wanted), ["id", "segment"]).where(F.col("upto") > F.col("within"))
+    return [(r.id, r.rank, r.v) for r in at.groupBy("id", "rank").agg(F.min("v").alias("v")).collect()]  # a row per rank

@@ -1,11 +1,7 @@
-"""Choices that depend on a known size: what to broadcast, what to keep over several passes."""
+"""Choices that depend on a known size: what to broadcast."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,20 +11,6 @@ from ledgerline.functions.numeric import quote_name
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 16
-SMALL_TABLE_BYTES = 256 << 20
-
-
-@contextmanager
-def kept_if_small(df: DataFrame, rows: int) -> Iterator[DataFrame]:
-    """A small table spread over all cores and held for several passes; a large one is scanned each time."""
-    if rows * len(df.columns) * 8 > SMALL_TABLE_BYTES:
-        yield df
-        return
-    kept = df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -22,11 +22,7 @@ from ledgerline.functions import (
 )
 from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.ordering import BUCKET, ROWS_PER_BUCKET, range_splits, with_range_bucket
-from ledgerline.functions.quantiles import exact_quantiles
-
-# Beyond this many pairs the correlations come from block sums instead of one aggregate each.
-NATIVE_PAIRS = 200
-
+from ledgerline.functions.quantiles import exact_quantiles, quantiles_with
 
 def _rows(wide: DataFrame, structs: Sequence[Column]) -> DataFrame:
     """One row per struct from a one-row frame."""
@@ -121,12 +117,20 @@ def missing_summary(df: DataFrame, threshold: float = 0.30) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each equal group; NULL equals NULL."""
-    groups = df.groupBy(*[as_column(c) for c in (columns or df.columns)]).agg(F.count("*").alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("*")).alias("n_duplicates"),
-    )
+    """Rows beyond the first of each equal group; NULL equals NULL.
+
+    Rows are counted by a fingerprint of 128 bits, so their values don't travel; only those that share one are compared whole.
+    """
+    wanted = [as_column(c) for c in (columns or df.columns)]
+    # NULLs are left out of the hash, so their places are hashed as well.
+    nulls = F.array(*[c.isNull() for c in wanted])
+    rows = df.select(F.xxhash64(*wanted).alias("_h"), F.xxhash64(F.lit(1), nulls, *wanted).alias("_g"), *[c.alias(f"_c{i}") for i, c in enumerate(wanted)])
+    groups = rows.groupBy("_h", "_g").agg(F.count("*").alias("_n"))
+    shared = rows.join(groups.filter("_n > 1"), ["_h", "_g"], "left_semi").groupBy(*[f"_c{i}" for i in range(len(wanted))])
+    none = F.lit(0).cast("bigint")
+    whole = groups.agg(F.coalesce(F.sum("_n"), none).alias("n_rows"), none.alias("n_duplicates"))
+    again = shared.agg((F.count("*") - 1).alias("_n")).agg(none.alias("n_rows"), F.coalesce(F.sum("_n"), none).alias("n_duplicates"))
+    return whole.unionByName(again).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_duplicates").alias("n_duplicates"))
 
 
 def consistency_report(df: DataFrame, rules: Sequence[tuple[str, Sequence[str], str]]) -> DataFrame:
@@ -155,38 +159,22 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return to_double(F.rtrim(F.col(quote_name(column)).cast("string"), F.lit("%")))
 
 
+SUMMARY_SCHEMA = "column string, min double, median double, mean double, max double, outliers bigint"
+
+
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, min, median, mean, max, outliers)``; outliers lie beyond mean +- 3 sample sd."""
-    empty = _nothing(df, "column string, min double, median double, mean double, max double, outliers bigint")
-    df, exprs = project(df, {c: _as_number(df, c) for c in columns if c in df.columns})
-    if not exprs:
-        return empty
-    medians = exact_quantiles(df, exprs, [0.5])
-    first = df.agg(
-        *[F.struct(F.min(e), F.max(e), F.avg(e), F.stddev_samp(e)).alias(f"s{i}") for i, e in enumerate(exprs.values())]
-    ).first()
-    stats = {c: tuple(first[i]) for i, c in enumerate(exprs) if first[i][0] is not None}
-    if not stats:
-        return empty
-    outside = {
-        c: (exprs[c] < avg - 3 * sd) | (exprs[c] > avg + 3 * sd) if low < high else F.lit(False)
-        for c, (low, high, avg, sd) in stats.items()
-    }
-    wide = df.agg(*[F.count_if(cond).alias(f"o{i}") for i, cond in enumerate(outside.values())])
-    return _rows(
-        wide,
-        [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(low).alias("min"),
-                F.lit(medians[c][0]).alias("median"),
-                F.lit(avg).alias("mean"),
-                F.lit(high).alias("max"),
-                F.col(f"o{i}").alias("outliers"),
-            )
-            for i, (c, (low, high, avg, _)) in enumerate(stats.items())
-        ],
-    )
+    exprs = {c: _as_number(df, c) for c in columns if c in df.columns}
+    moments = lambda e: F.struct(F.min(e).alias("low"), F.max(e).alias("high"), F.avg(e).alias("mean"), F.stddev_samp(e).alias("sd"))
+
+    def outside(_: str, e: Column, m) -> Column:
+        if m.low is None or m.low == m.high:
+            return F.lit(False)
+        return (e < m.mean - 3 * m.sd) | (e > m.mean + 3 * m.sd)
+
+    medians, stats, outliers = quantiles_with(df, exprs, [0.5], moments, outside)
+    rows = [(c, m.low, medians[c][0], m.mean, m.high, outliers[c]) for c, m in stats.items() if m.low is not None]
+    return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
@@ -280,67 +268,43 @@ def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+DESCRIBE_SCHEMA = (
+    "column string, q1 double, median double, q3 double, n bigint, mean double, std double, min double, max double, skew double, kurtosis double"
+)
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample sd, min, quartiles, max, corrected skewness and kurtosis per column."""
-    df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
-    quartiles = exact_quantiles(df, exprs, [0.25, 0.5, 0.75])
-    wide = df.agg(
-        *[
-            F.struct(
-                F.count(e).alias("n"),
-                F.avg(e).alias("mean"),
-                F.stddev_samp(e).alias("std"),
-                F.min(e).alias("min"),
-                F.max(e).alias("max"),
-                skewness_corrected(e).alias("skew"),
-                kurtosis_corrected(e).alias("kurtosis"),
-            ).alias(f"s{i}")
-            for i, e in enumerate(exprs.values())
-        ]
-    )
-    return _rows(
-        wide,
-        [
-            F.struct(
-                F.lit(c).alias("column"),
-                *[F.lit(q).cast("double").alias(n) for q, n in zip(quartiles[c], ("q1", "median", "q3"))],
-                *[F.col(f"s{i}.{n}").alias(n) for n in ("n", "mean", "std", "min", "max", "skew", "kurtosis")],
-            )
-            for i, c in enumerate(exprs)
-        ],
-    )
+    exprs = {c: nan_to_null(as_column(c).cast("double")) for c in columns}
+
+    def moments(e: Column) -> Column:
+        return F.struct(
+            F.count(e), F.avg(e), F.stddev_samp(e), F.min(e), F.max(e), skewness_corrected(e), kurtosis_corrected(e)
+        )
+
+    quartiles, stats, _ = quantiles_with(df, exprs, [0.25, 0.5, 0.75], moments)
+    rows = [(c, *quartiles[c], *stats[c]) for c in exprs]
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], keep_zero: bool = False) -> DataFrame:
     """Values beyond 1.5 interquartile ranges, most affected column first; the share is over all rows."""
-    empty = _nothing(df, "column string, outliers bigint, pct double, min double, max double, q1 double, q3 double")
     df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in columns})
-    quartiles = {c: q for c, q in exact_quantiles(df, exprs, [0.25, 0.75]).items() if q[0] is not None} if exprs else {}
+    quartiles, ends, _ = quantiles_with(df, exprs, [0.25, 0.75], lambda e: F.struct(F.min(e), F.max(e), F.count("*")))
+    quartiles = {c: q for c, q in quartiles.items() if q[0] is not None}
+    empty = _nothing(df, "column string, outliers bigint, pct double, min double, max double, q1 double, q3 double")
     if not quartiles:
         return empty
     fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in quartiles.items()}
-    wide = df.agg(
-        F.count("*").alias("_n"),
-        *[
-            F.struct(
-                F.count_if((exprs[c] < low) | (exprs[c] > high)).alias("outliers"),
-                F.min(exprs[c]).alias("min"),
-                F.max(exprs[c]).alias("max"),
-            ).alias(f"s{i}")
-            for i, (c, (low, high)) in enumerate(fences.items())
-        ],
-    )
+    wide = df.agg(*[F.count_if((exprs[c] < low) | (exprs[c] > high)).alias(f"s{i}") for i, (c, (low, high)) in enumerate(fences.items())])
     out = _rows(
         wide,
         [
             F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"s{i}.outliers").alias("outliers"),
-                (_share(F.col(f"s{i}.outliers"), F.col("_n")) * 100).alias("pct"),
-                F.col(f"s{i}.min").alias("min"),
-                F.col(f"s{i}.max").alias("max"),
-                F.lit(quartiles[c][0]).alias("q1"),
-                F.lit(quartiles[c][1]).alias("q3"),
+                F.lit(c).alias("column"), F.col(f"s{i}").alias("outliers"),
+                (_share(F.col(f"s{i}"), F.lit(ends[c][2])) * 100).alias("pct"),
+                F.lit(ends[c][0]).alias("min"), F.lit(ends[c][1]).alias("max"),
+                F.lit(quartiles[c][0]).alias("q1"), F.lit(quartiles[c][1]).alias("q3"),
             )
             for i, c in enumerate(fences)
         ],
@@ -435,77 +399,61 @@ def rates_by_category(df: DataFrame, columns: Sequence[str], target: str, max_le
     return kept.orderBy("column", F.desc("rate"), "value")
 
 
-def correlations(
-    df: DataFrame, columns: Sequence[str], with_column: str | None = None, native_pairs: int = NATIVE_PAIRS
-) -> DataFrame:
+def correlations(df: DataFrame, columns: Sequence[str], with_column: str | None = None) -> DataFrame:
     """``(a, b, r)``: Pearson correlation of each pair (or of each column with one), pairwise complete.
 
-    NULL where either column is constant on the rows that have both. More than ``native_pairs`` pairs
-    are too many for one aggregate; their cross products are summed per task. The data do not matter
-    for that choice, only the number of columns.
+    NULL where either column is constant on the rows that have both, by its least and greatest value there. Each task sums the
+    cross products of its rows about the columns' means, for any number of pairs; the sums of the tasks add up.
     """
     if with_column is None:
         pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     else:
         pairs = [(c, with_column) for c in columns if c != with_column]
+    if not pairs:
+        return _nothing(df, "a string, b string, r double")
     wanted = list(dict.fromkeys(n for p in pairs for n in p))
     df, exprs = project(df, {c: nan_to_null(as_column(c).cast("double")) for c in wanted})
-    if len(pairs) > native_pairs:
-        means = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())]).first()
-        return _block_correlations(df, exprs, list(means), pairs)
-
-    def correlation(x: Column, y: Column) -> Column:
-        # The built-in one divides by zero for a constant, and merged variances of one are rounding noise.
-        own, other = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        varies = (F.min(own) < F.max(own)) & (F.min(other) < F.max(other))
-        return F.when(varies, F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(own)) * F.sqrt(F.var_pop(other))))
-
-    wide = df.agg(*[correlation(exprs[a], exprs[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return _rows(
-        wide,
-        [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(pairs)
-        ],
-    )
-
-
-def _block_correlations(
-    df: DataFrame, exprs: dict[str, Column], means: Sequence[float | None], pairs: Sequence[tuple[str, str]]
-) -> DataFrame:
-    """Any number of pairs at once, NULLs allowed: each task sums cross products of its rows, then the sums add up."""
-    columns = list(exprs)
-    centred = df.select(*[(exprs[c] - F.lit(m or 0.0)).alias(c) for c, m in zip(columns, means)])
-    at = {c: i for i, c in enumerate(columns)}
+    found = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())]).first()
+    means = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in found])
+    at = {c: i for i, c in enumerate(exprs)}
     upper = np.array([at[a] for a, _ in pairs]), np.array([at[b] for _, b in pairs])
+    sums, ends = ("n", "sx", "sy", "sxx", "syy", "sxy"), ("lx", "ly", "hx", "hy")
+
+    def products(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every pair: counts and sums over the rows that have both; least and greatest values there (the latter negated)."""
+        there = ~np.isnan(x)
+        mask, centred = there.astype("float64"), np.where(there, x - means, 0.0)
+        square = centred * centred
+        added = np.stack(
+            [mask.T @ mask, centred.T @ mask, mask.T @ centred, square.T @ mask, mask.T @ square, centred.T @ centred]
+        )[:, upper[0], upper[1]]
+        low, high = np.where(there, x, np.inf), np.where(there, -x, np.inf)
+        whole = low.min(0, initial=np.inf), high.min(0, initial=np.inf)
+        least = np.empty((2, x.shape[1], x.shape[1]))  # of column i over the rows that have column j
+        for j in range(x.shape[1]):
+            rows = there[:, j]
+            for k, values in enumerate((low, high)):
+                least[k, :, j] = whole[k] if rows.all() else values[rows].min(0, initial=np.inf)
+        i, j = upper
+        return added, np.stack([least[0, i, j], least[0, j, i], least[1, i, j], least[1, j, i]])
 
     def cross_products(batches):
-        sums = None
+        total = None
         for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan)
-            mask = (~np.isnan(x)).astype("float64")
-            x = np.nan_to_num(x)
-            square = x * x
-            part = np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, square.T @ mask, mask.T @ square, x.T @ x])
-            sums = part if sums is None else sums + part
-        if sums is not None:
-            cells = sums[:, upper[0], upper[1]]
-            yield pd.DataFrame(
-                {"i": upper[0], "j": upper[1], **{n: cells[k] for k, n in enumerate(("n", "sx", "sy", "sxx", "syy", "sxy"))}}
-            )
-
-    parts = centred.mapInPandas(
-        cross_products, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    )
-    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+            added, least = products(batch.to_numpy(dtype="float64", na_value=np.nan))
+            total = (added, least) if total is None else (total[0] + added, np.minimum(total[1], least))
+        if total is not None:
+            cells = {n: total[0][k] for k, n in enumerate(sums)} | {n: total[1][k] for k, n in enumerate(ends)}
+            yield pd.DataFrame({"pair": np.arange(len(upper[0])), **cells})
+
+    parts = df.mapInPandas(cross_products, "pair int, " + ", ".join(f"{c} double" for c in (*sums, *ends)))
+    total = parts.groupBy("pair").agg(*[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in ends])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     spread_x, spread_y = n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
-    # A column that is constant over the pair's rows leaves rounding noise only.
-    varies = (spread_x > n * F.col("sxx") * 1e-12) & (spread_y > n * F.col("syy") * 1e-12)
-    names = F.array(*[F.lit(c) for c in columns])
+    varies = (F.col("lx") < -F.col("hx")) & (F.col("ly") < -F.col("hy"))
+    names = [F.array(*[F.lit(p[k]) for p in pairs]) for k in (0, 1)]
     return total.select(
-        F.element_at(names, F.col("i") + 1).alias("a"),
-        F.element_at(names, F.col("j") + 1).alias("b"),
+        F.get(names[0], F.col("pair")).alias("a"), F.get(names[1], F.col("pair")).alias("b"),
         F.when(varies, F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(spread_x) * F.sqrt(spread_y))).alias("r"),
     )
 

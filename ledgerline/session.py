@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
@@ -36,11 +36,14 @@ def local_session(app_name: str = "ledgerline", cores: str = "*", shuffle_partit
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) is a local folder made, once per application.
+    Where the setting is absent, a session on one machine gets a local folder, made once per application; a cluster is refused.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors of {master} reach")
     application = spark.sparkContext.applicationId
     if application not in _local_dirs:
         _local_dirs[application] = tempfile.mkdtemp(prefix="ledgerline-")
@@ -50,3 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: read often, computed once, safe from lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,8 +14,8 @@ from ledgerline import functions as fn
 from ledgerline import session
 from ledgerline.config import EMP_LENGTH_ORDINALS
 from ledgerline.functions.ordering import BUCKET, range_splits, running_sums, with_range_bucket
-from ledgerline.functions.quantiles import exact_quantiles, order_statistics
-from ledgerline.functions.sizing import broadcast_if_small, is_small, kept_if_small, lookup_join
+from ledgerline.functions.quantiles import exact_quantiles, order_statistics, quantiles_with
+from ledgerline.functions.sizing import broadcast_if_small, is_small, lookup_join
 
 
 def one(df, expr):
@@ -81,8 +81,8 @@ def _skewed_values(n, seed):
     return [5.0 if rng.random() < 1 / 3 else rng.lognormvariate(0, 4) for _ in range(n)]
 
 
-@pytest.mark.parametrize("limits", [{"percentile_rows": 0, "value_limit": 20}, {"percentile_rows": 0, "value_limit": 5_000}, {}])
-def test_quantiles_equal_numpy_on_every_path(spark, limits):
+@pytest.mark.parametrize("limits", [{"sketch": 8}, {"sketch": 200}, {}])
+def test_quantiles_equal_numpy_with_any_sketch(spark, limits):
     values = _skewed_values(20_000, 1)
     df = spark.createDataFrame(pd.DataFrame({"x": values})).withColumn("empty", F.lit(None).cast("double"))
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -104,7 +104,7 @@ def test_order_statistics_keep_large_integers_exact(spark):
 @given(st.lists(st.one_of(st.integers(-50, 50).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=60), st.floats(0, 1))
 def test_quantile_property(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, ["x"], [p], value_limit=2, percentile_rows=0)["x"][0]
+    got = exact_quantiles(df, ["x"], [p], sketch=8)["x"][0]
     assert got == pytest.approx(float(np.quantile(values, p)), rel=1e-9, abs=1e-6)
 
 
@@ -167,11 +167,43 @@ def test_files_go_to_the_folder_the_cluster_names(spark, monkeypatch):
     assert session.shared_path(Cluster(), "x").startswith("hdfs://shared/work/x-")
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark, monkeypatch):
-    df = spark.range(100)
-    with kept_if_small(df, 100) as held:
-        assert held.is_cached and held.count() == 100
-    assert not held.is_cached
-    monkeypatch.setattr("ledgerline.functions.sizing.SMALL_TABLE_BYTES", 10)
-    with kept_if_small(df, 100) as held:
-        assert held is df
+@pytest.fixture
+def scans(spark, tmp_path):
+    """How often the rows of a file are read, counted in its only row filter."""
+
+    def make(pdf):
+        counter = spark.sparkContext.accumulator(0)
+        spark.createDataFrame(pdf).coalesce(1).write.parquet(str(tmp_path / "rows"))
+
+        def counted(batches):
+            counter.add(1)
+            yield from batches
+
+        df = spark.read.parquet(str(tmp_path / "rows"))
+        return df.mapInPandas(counted, df.schema), counter
+
+    return make
+
+
+def test_quantiles_and_moments_take_two_scans(scans):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"x": rng.lognormal(0, 3, 30_000), "y": rng.integers(0, 5, 30_000).astype(float)})
+    df, counter = scans(pdf)
+    exprs = {c: F.col(c) for c in pdf}
+    got, sums, above = quantiles_with(df, exprs, [0.01, 0.25, 0.5, 0.99], F.sum, lambda _, e, total: e > total / len(pdf))
+    assert counter.value == 2
+    for c in pdf:
+        assert got[c] == pytest.approx(list(np.quantile(pdf[c], [0.01, 0.25, 0.5, 0.99])), rel=1e-12)
+        assert sums[c] == pytest.approx(pdf[c].sum()) and above[c] == (pdf[c] > sums[c] / len(pdf)).sum()
+
+
+def test_unproven_intervals_are_widened(spark, monkeypatch):
+    monkeypatch.setattr("ledgerline.functions.quantiles.MARGIN", 0.0)
+    values = _skewed_values(30_000, 9)
+    got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": values})), ["x"], [0.1, 0.5, 0.9], sketch=8)
+    assert got["x"] == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.9])), rel=1e-12)
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([], "x double")
+    assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]} and exact_quantiles(df, [], [0.5]) == {}

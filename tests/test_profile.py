@@ -115,13 +115,26 @@ def test_wide_correlations_equal_pandas(spark):
     pdf["k"] = 7.0
     expected = pdf.corr()
     df = spark.createDataFrame(pdf).repartition(3)
-    for limit in (0, 1_000):
-        for r in profile.correlations(df, list(pdf.columns), native_pairs=limit).collect():
-            theirs = expected.loc[r["a"], r["b"]]
-            assert (r["r"] is None) if np.isnan(theirs) else r["r"] == pytest.approx(theirs, abs=1e-9)
+    for r in profile.correlations(df, list(pdf.columns)).collect():
+        theirs = expected.loc[r["a"], r["b"]]
+        assert (r["r"] is None) if np.isnan(theirs) else r["r"] == pytest.approx(theirs, abs=1e-9)
     assert [(r["a"], r["b"]) for r in profile.correlated_pairs(df, list(pdf.columns), 0.8).collect()] == [("a", "b")]
 
 
+def test_correlations_alike_for_few_and_many_columns(spark):
+    """300 columns give the NULLs and values that their first ten give, constants on the common rows included."""
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(size=(60, 300)), columns=[f"c{i}" for i in range(300)])
+    pdf["c1"], pdf["c2"] = 1e9 + 0.1, np.where(np.arange(60) < 30, 5.0, np.nan)
+    pdf["c3"] = np.where(np.arange(60) < 30, 0.1, 0.3)
+    df = spark.createDataFrame(pdf).repartition(3)
+    few = {(r["a"], r["b"]): r["r"] for r in profile.correlations(df, list(pdf.columns)[:10]).collect()}
+    many = {(r["a"], r["b"]): r["r"] for r in profile.correlations(df, list(pdf.columns)).collect()}
+    assert len(few) == 45 and len(many) == 300 * 299 // 2
+    assert all(many[p] == pytest.approx(r, abs=1e-12) if r is not None else many[p] is None for p, r in few.items())
+    assert few["c1", "c4"] is None and few["c2", "c3"] is None and few["c3", "c4"] is not None
+
+
 def test_skew_screen_uses_non_negative_values_for_the_log(spark):
     x = np.append(np.random.default_rng(1).lognormal(sigma=2, size=300), [-5.0])
     got = profile.skew_screen(spark.createDataFrame(pd.DataFrame({"x": x, "u": np.arange(301.0)})), ["x", "u"]).collect()
