@@ -29,11 +29,13 @@ from ledgerline.functions import (
 from ledgerline.functions.numeric import as_column, project
 from ledgerline.functions.quantiles import exact_quantiles
 from ledgerline.functions.sizing import lookup_join
+from ledgerline.operators.levels import Levels, fit_levels
 from ledgerline.operators.profile import value_counts_long
+from ledgerline.session import shared_path, stored
 
-# Largest category list that is turned into one column per level. Longer ones are for
-# ``sparse_one_hot``, whose vectors do not grow with the number of levels.
+# Largest category list that is turned into one column per level. A longer one becomes entries of a sparse vector.
 MAX_LEVELS = 5_000
+WIDE = "wide_levels"
 
 
 def add_date_parts(
@@ -224,6 +226,7 @@ class FeatureModel:
     levels: dict[str, list[str]]
     rare: dict[str, list[str]]
     scale: dict[str, tuple[float, float]] = field(default_factory=dict)
+    wide: str | None = None  # folder of the levels of one-hot columns that have too many for a column each
 
     def _numeric(self, column: str) -> Column:
         e = _value(column)
@@ -261,15 +264,22 @@ class FeatureModel:
 
     @property
     def feature_names(self) -> list[str]:
-        return list(self.expressions())
+        return [*self.expressions(), *([WIDE] if self.wide else [])]
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """The features, after the columns of ``keep``."""
+        """The features, after the columns of ``keep``; columns of very many levels share one sparse vector."""
+        wide = []
+        if self.wide:
+            df, wide = Levels.load(df.sparkSession, self.wide).encoded(df, WIDE, self.spec.drop_first), [WIDE]
         return df.select(
-            *[F.col(quote_name(c)) for c in keep], *[e.alias(n) for n, e in self.expressions().items()]
+            *[F.col(quote_name(c)) for c in keep], *[e.alias(n) for n, e in self.expressions().items()], *wide
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
+        """One text file, and beside it the folder of long level lists."""
+        if self.wide:
+            Levels.load(spark, self.wide).save(f"{path}.levels")
+            self.wide = f"{path}.levels"
         spark.createDataFrame([(json.dumps(asdict(self)),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
     @staticmethod
@@ -281,16 +291,14 @@ class FeatureModel:
 
 
 def _collect_levels(train: DataFrame, columns: Sequence[str], spec: FeatureSpec):
-    """Modes, sorted level lists and rare lists after merging, from one count over all columns."""
-    counts = level_counts(train, columns)
-    listed = counts.limit(MAX_LEVELS + 1).collect()
-    if len(listed) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels; use sparse_one_hot for such columns")
+    """Modes, sorted level lists and rare lists after merging, from one count over all columns; and the columns too long for lists."""
+    counts = stored(level_counts(train, columns), "levels")
+    sizes = {r["column"]: r["n_levels"] for r in counts.groupBy("column").agg(F.count("*").alias("n_levels")).collect()}
+    short = [c for c in columns if sizes.get(c, MAX_LEVELS + 1) <= MAX_LEVELS]
+    listed = counts.filter(F.col("column").isin(*short)).collect() if short else []
     modes, levels, rare = {}, {}, {}
-    for c in columns:
+    for c in short:
         found = {r["value"]: r["n"] for r in listed if r["column"] == c}
-        if not found:
-            continue
         if c in spec.rare:
             rare[c] = sorted(v for v, n in found.items() if n < spec.rare_threshold)
             merged = sum(found.pop(v) for v in rare[c])
@@ -298,7 +306,7 @@ def _collect_levels(train: DataFrame, columns: Sequence[str], spec: FeatureSpec)
                 found[spec.rare_label] = found.get(spec.rare_label, 0) + merged
         modes[c] = min(found, key=lambda v: (-found[v], v))
         levels[c] = sorted(found)
-    return modes, levels, rare
+    return modes, levels, rare, [c for c in columns if sizes.get(c, 0) > MAX_LEVELS]
 
 
 def fit_features(train: DataFrame, spec: FeatureSpec) -> FeatureModel:
@@ -310,8 +318,15 @@ def fit_features(train: DataFrame, spec: FeatureSpec) -> FeatureModel:
     # Capping does not change the order, so the median of the capped values is the capped median.
     medians = {c: min(q[0], caps.get(c, q[0])) for c, q in quantiles.items() if q[0] is not None}
     text = groups["ordinal"] + groups["one_hot"]
-    modes, levels, rare = _collect_levels(train, text, spec) if text else ({}, {}, {})
+    modes, levels, rare, wide = _collect_levels(train, text, spec) if text else ({}, {}, {}, [])
     model = FeatureModel(spec, groups, caps, medians, modes, levels, rare)
+    if wide:
+        long = fit_levels(train, wide, [c for c in wide if c in spec.rare], spec.rare_threshold, spec.rare_label)
+        model.modes |= {c: long.modes[c] for c in wide if c in groups["ordinal"]}
+        hot = [c for c in wide if c in groups["one_hot"]]
+        if hot:
+            model.wide = shared_path(train.sparkSession, "levels")
+            Levels(long.dictionary, {c: long.sizes[c] for c in hot}, long.modes).save(model.wide)
     inputs = model.scaled_inputs()
     model.scale = fit_scale(train, inputs) if inputs else {}
     return model

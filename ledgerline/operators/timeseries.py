@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.numeric import as_column
 from ledgerline.functions.sizing import lookup_join
 
-MAX_SERIES = 1_000
+PIVOT_BLOCK = 500
 
 
 def month_of(column) -> Column:
@@ -30,21 +30,26 @@ def series_summary(long: DataFrame) -> DataFrame:
 
 
 def series_ids(long: DataFrame) -> list[str]:
-    found = [r[0] for r in long.select("series_id").distinct().limit(MAX_SERIES + 1).collect()]
-    if len(found) > MAX_SERIES:
-        raise ValueError(f"more than {MAX_SERIES} series; pass the wanted ones")
-    return sorted(found)
+    """All series, one name each."""
+    return sorted(r[0] for r in long.select("series_id").where("series_id IS NOT NULL").distinct().collect())
 
 
-def pivot_series(long: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
-    """One row per month, one column per series, holding the first observation of the month."""
+def pivot_series(long: DataFrame, ids: Sequence[str] | None = None, block: int = PIVOT_BLOCK) -> DataFrame:
+    """One row per month, one column per series, holding the first observation of the month.
+
+    Any number of series: they are pivoted ``block`` columns at a time and the blocks, a row per month each, joined.
+    """
     ids = list(ids) if ids is not None else series_ids(long)
-    return (
-        with_month(long, "observation_date")
-        .groupBy("year_month")
-        .pivot("series_id", ids)
-        .agg(F.min_by("value", "observation_date"))
-    )
+    dated = with_month(long, "observation_date")
+
+    def pivoted(some: Sequence[str]) -> DataFrame:
+        return dated.groupBy("year_month").pivot("series_id", list(some)).agg(F.min_by("value", "observation_date"))
+
+    out = pivoted(ids[:block])
+    for i in range(block, len(ids), block):
+        more = pivoted(ids[i : i + block]).withColumnRenamed("year_month", "_month")
+        out = out.join(more, F.col("year_month").eqNullSafe(F.col("_month")), "left").drop("_month")
+    return out
 
 
 def year_over_year(

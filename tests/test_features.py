@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import features as fe
+from ledgerline.operators import levels
+from ledgerline.operators import models as md
 
 
 @pytest.fixture(scope="module")
@@ -112,11 +114,40 @@ def test_rare_merge_leaves_unseen_levels(rows, monkeypatch, listed):
     assert sorted((r["k"] or "-") for r in got.collect()) == ["-", "a", "c", "new", "other"]
 
 
-def test_too_many_levels_are_refused(spark, monkeypatch):
+def test_many_levels_become_a_sparse_vector(spark, tmp_path, monkeypatch):
+    """The same 0/1 values as with a column per level."""
+    train = spark.createDataFrame([(f"k{i % 40:02d}" if i % 9 else None, float(i), "ab"[i % 2]) for i in range(400)], "k string, x double, s string")
+    new = spark.createDataFrame([("k05", 1.0, "a"), ("k00", 2.0, "b"), ("unseen", 3.0, "a"), (None, 4.0, "b")], train.schema)
+    spec = fe.FeatureSpec(one_hot=["k", "s"], rare=["k"], rare_threshold=9)
+    short = fe.fit_features(train, spec)
     monkeypatch.setattr(fe, "MAX_LEVELS", 10)
-    df = spark.range(50).select(F.col("id").cast("string").alias("k"))
-    with pytest.raises(ValueError, match="sparse_one_hot"):
-        fe.fit_features(df, fe.FeatureSpec(one_hot=["k"]))
+    long = fe.fit_features(train, spec)
+    long.save(spark, str(tmp_path / "model"))
+    long = fe.FeatureModel.load(spark, str(tmp_path / "model"))
+    assert long.feature_names == ["x", "s_b", fe.WIDE]
+    own = [n for n in short.feature_names if n.startswith("k_")]
+    want = {r["x"]: [r[n] for n in own] for r in short.transform(new).collect()}
+    assert {r["x"]: r[fe.WIDE].toArray().tolist() for r in long.transform(new).collect()} == want and len(own) > 10
+    assembled = md.assembler(long.feature_names).transform(long.transform(new))
+    assert assembled.first()[md.FEATURES].size == 2 + len(own)
+
+
+def test_levels_of_a_million_values(spark):
+    train = spark.range(1_000_000).select(F.format_string("v%07d", "id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("h"))
+    found = levels.fit_levels(train, ["k", "h"])
+    assert found.sizes == {"k": 1_000_000, "h": 2} and found.modes == {"k": "v0000000", "h": "cold"}
+    some = train.where("k in ('v0000007', 'v0999999')")
+    for limits in ({}, {"max_rows": 1}):
+        got = {r["k"]: r["categories"] for r in found.encoded(some, **limits).collect()}
+        assert got["v0000007"].indices.tolist()[0] == 7 and got["v0999999"].indices.tolist()[0] == 999_999
+        assert {v.size for v in got.values()} == {1_000_002}
+
+
+def test_rare_levels_merge_in_the_dictionary(rows):
+    train = rows([("a",)] * 60 + [("b",)] * 3 + [("c",)] * 50 + [("z",)], "k string")
+    found = levels.fit_levels(train, ["k"], rare=["k"])
+    got = found.merged(rows([("a",), ("b",), ("c",), ("z",), ("new",), (None,)], "k string"))
+    assert sorted((r["k"] or "-") for r in got.collect()) == ["-", "a", "c", "new", "other", "other"]
 
 
 def test_sparse_one_hot_ignores_unseen_levels(rows):
