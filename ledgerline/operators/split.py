@@ -6,7 +6,7 @@ beforehand, so applying them needs no window, shuffle or join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,19 +108,37 @@ def split_summary(df: DataFrame, split: str, target: str, date_column: str) -> D
     )
 
 
+def allotted(counts: Mapping[object, int], target_n: int) -> dict[object, int]:
+    """``target_n`` shared out by size, whole numbers by largest remainder, equal ones to the first class listed."""
+    total = sum(counts.values())
+    exact = {k: target_n * n / total for k, n in counts.items()}
+    out = {k: int(e) for k, e in exact.items()}
+    for k in sorted(counts, key=lambda k: out[k] - exact[k])[: target_n - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
 def stratified_sample(
-    df: DataFrame, target_n: int, label: str, seed: int = 42
+    df: DataFrame, target_n: int, label: str, seed: int = 42, key: str | None = None
 ) -> DataFrame:
-    """About ``target_n`` rows with the class shares of ``label``; a smaller table is returned whole.
+    """``target_n`` rows with the class shares of ``label``, each class right to one row; a smaller table is returned whole.
 
-    Every class is drawn with the same chance, rows without a label like a class of their own.
+    Each class keeps its rows of least hash (of the key, else of the whole row), cut at an exact order statistic. The draw is
+    the same for any partitioning. Rows without a label are a class of their own; rows that share a hash go together.
     """
     if label not in df.columns:
         raise ValueError(f"no column {label}")
-    total = df.count()
-    if total <= target_n:
+    counts = {r[0]: r[1] for r in df.groupBy(label).agg(F.count("*")).collect()}  # a row per class
+    if sum(counts.values()) <= target_n:
         return df
-    return df.filter(F.rand(seed) < target_n / total)
+    drawn = F.xxhash64(F.lit(seed), *[as_column(c) for c in ([key] if key else df.columns)])
+    taken = {k: n for k, n in allotted(dict(sorted(counts.items(), key=lambda c: (c[0] is None, c[0]))), target_n).items() if n}
+    of_class = {str(i): F.when(as_column(label).eqNullSafe(F.lit(k)), drawn) for i, k in enumerate(taken)}
+    edges = order_statistics(df, of_class, {str(i): [n - 1] for i, n in enumerate(taken.values())})
+    kept = F.lit(False)
+    for i, (k, n) in enumerate(taken.items()):
+        kept = kept | (as_column(label).eqNullSafe(F.lit(k)) & (drawn <= F.lit(edges[str(i), n - 1])))
+    return df.filter(kept)
 
 
 def hash_sample(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:

@@ -65,10 +65,18 @@ def _(spark, sf):
     return split.split_summary(marked, "split", "charged_off", "issue_d")
 
 
-@query("stratified_sample_counts", "M1")
+@query(
+    "stratified_sample_counts", "M1",
+    sql=f"""
+    WITH c AS (SELECT charged_off, count(*) AS n, sum(count(*)) OVER () AS total FROM {_LOANS} AS l GROUP BY 1),
+    e AS (SELECT *, least(total, 1000) * n * 1e0 / total AS exact FROM c),
+    r AS (SELECT *, row_number() OVER (ORDER BY floor(exact) - exact, charged_off) AS place, sum(floor(exact)) OVER () AS whole FROM e)
+    SELECT charged_off, CAST(floor(exact) AS BIGINT) + CASE WHEN place <= least(total, 1000) - whole THEN 1 ELSE 0 END AS n FROM r
+    """,
+)
 def _(spark, sf):
     loans = _loans(spark, sf)
-    sample = split.stratified_sample(loans, 5_000, "charged_off")
+    sample = split.stratified_sample(loans, 1_000, "charged_off", key="loan_id")
     return sample.groupBy("charged_off").agg(F.count("*").alias("n"))
 
 

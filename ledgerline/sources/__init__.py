@@ -10,10 +10,12 @@ from ledgerline.sources.readers import (
     text_schema,
     year_distribution,
 )
-from ledgerline.sources.writers import preview, schema_report, table_report, write_csv, write_table
+from ledgerline.sources.writers import (
+    old_versions, preview, read_version, schema_report, table_report, write_csv, write_table, write_version,
+)
 
 __all__ = [
     "EmptyResultError", "MissingColumnError", "filtered_loans", "insight_table", "in_memory_table",
-    "macro_series", "preview", "read_csv", "read_table", "schema_report", "table_report", "text_schema",
-    "write_csv", "write_table", "year_distribution",
+    "macro_series", "old_versions", "preview", "read_csv", "read_table", "read_version", "schema_report", "table_report", "text_schema",
+    "write_csv", "write_table", "write_version", "year_distribution",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerline.config import NULL_TOKENS
 from ledgerline.functions import month_text_to_date, null_tokens_to_null, quote_name, to_double
 from ledgerline.operators.profile import year_counts
+from ledgerline.sources.records import csv_records
 
 
 class MissingColumnError(ValueError):
@@ -47,13 +48,18 @@ def read_csv(
     """CSV with a header. Raises on a missing path; ``null_tokens`` are read as NULL in text columns.
 
     Without a schema the columns stay text (``infer=True`` scans the whole file for types). A quote inside
-    a quoted field is doubled. ``multi_line`` allows line breaks there; a file is then read by one task.
+    a quoted field is doubled. ``multi_line`` allows line breaks there; the blocks of a file are still read by many tasks
+    (with ``infer`` a file is then read by one).
     """
     reader = dialect(spark.read).option("header", True).option("nullValue", "").option("nanValue", "NaN")
-    reader = reader.option("multiLine", multi_line)
     if infer:
-        return reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
-    raw = reader.schema(schema or text_schema(csv_header(spark, path))).csv(path)
+        return reader.option("multiLine", multi_line).option("inferSchema", True).option("samplingRatio", 1.0).csv(path)
+    schema = schema or text_schema(csv_header(spark, path))
+    if multi_line:
+        options = {"quote": '"', "escape": '"', "nullValue": "", "nanValue": "NaN"}
+        raw = csv_records(spark, path).select(F.from_csv("record", ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in schema), options).alias("r")).select("r.*")
+    else:
+        raw = reader.schema(schema).csv(path)
     return raw.select(
         *[
             null_tokens_to_null(f.name, null_tokens).alias(f.name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,34 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def write_version(df: DataFrame, path: str) -> str:
+    """Replace the table at ``path`` in two steps: a new folder with all its rows, then one more row in the table of versions.
+
+    Readers (``read_version``) follow the last version named there, so they see the old rows or the new ones, never a part;
+    a write that stops in between changes nothing for them. Old folders stay until ``old_versions`` names them to the caller.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    df.write.parquet(f"{path}/version={version}")
+    switch = spark.createDataFrame([(version,)], "version string").withColumn("at", F.current_timestamp())
+    switch.coalesce(1).write.mode("append").parquet(f"{path}/switches")
+    return version
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions switched to, the current one last; a row per write of the table."""
+    switches = spark.read.schema("version string, at timestamp").parquet(f"{path}/switches")
+    return [r["version"] for r in switches.orderBy("at", "version").collect()]
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
+
+
+def old_versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders that no reader starting now will open."""
+    return [f"{path}/version={v}" for v in _versions(spark, path)[:-1]]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; NULL as an empty field, quotes doubled, blanks at the ends of a text kept."""
     writer = dialect(df.write.mode("overwrite")).option("header", True).option("nullValue", "")

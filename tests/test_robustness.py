@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerline.functions import to_double
 from ledgerline.operators import clean, evaluate, profile, split
 from ledgerline.plans import layers
 from ledgerline.sources import read_csv, write_csv
+from ledgerline.sources.records import record_parts
 
 
 def test_free_text_survives_csv(spark, tmp_path):
@@ -21,6 +23,28 @@ def test_free_text_survives_csv(spark, tmp_path):
     assert back == dict(enumerate(texts))
 
 
+@pytest.mark.parametrize("block", [64, 700, 10**8])
+def test_records_with_line_breaks_are_read_block_by_block(spark, tmp_path, block):
+    """One file, cut into many blocks, some of them within a quoted field; the rows are those of the table."""
+    rng = random.Random(block)
+    pieces = ["plain ", 'say "hi", ok ', "line\nbreak\n\n", ",", "x" * 90, "é漢 ", "\r\n", '""', " "]
+    rows = [(i, "".join(rng.choices(pieces, k=rng.randrange(6))) or None, "end") for i in range(400)]
+    rows += [(400, "\n" * 300 + '"' * 7, "end"), (401, "last\nwithout end", "open\nline")]
+    path = f"{tmp_path}/t"
+    write_csv(spark.createDataFrame(rows, "`the id` int, text string, last string").coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        raw = read_csv(spark, path, null_tokens=(), multi_line=True)
+        assert raw.columns == ["the id", "text", "last"]
+        back = sorted((int(r["the id"]), r.text, r.last) for r in raw.collect())
+        tasks = record_parts(spark, path).select("start").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert back == [(i, None if t is None else t, e) for i, t, e in rows]
+    assert tasks > 20 if block < 1_000 else tasks == 1
+
+
 def test_numbers_without_type_suffix(spark):
     cases = {"12d": None, "7f": None, "1e3": 1000.0, " 5 ": 5.0, "": None, ".5": 0.5, "5.": 5.0, "-2": -2.0, "0x10": None, "inf": math.inf, "nan": None}
     rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", to_double("t").alias("v")).collect()

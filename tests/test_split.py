@@ -84,7 +84,10 @@ def test_small_tables_are_not_sampled(loans):
 
 def test_samples_keep_the_class_shares(spark):
     df = spark.range(40_000).select("id", (F.col("id") % 5 == 0).cast("int").alias("y"))
-    for sample in (split.stratified_sample(df, 10_000, "y"), split.hash_sample(df, "id", 0.25)):
+    exact = split.stratified_sample(df, 10_000, "y", key="id")
+    assert {r["y"]: r["count"] for r in exact.groupBy("y").count().collect()} == {0: 8_000, 1: 2_000}
+    assert exact.exceptAll(split.stratified_sample(df.repartition(5), 10_000, "y", key="id")).isEmpty()
+    for sample in (exact, split.hash_sample(df, "id", 0.25)):
         counts = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
         assert sum(counts.values()) == pytest.approx(10_000, rel=0.05)
         assert counts[1] / sum(counts.values()) == pytest.approx(0.2, abs=0.02)
