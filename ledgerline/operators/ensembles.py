@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import quote_name
@@ -159,7 +159,7 @@ class TreeTable:
         return rows.select(*[F.col(quote_name(c)) for c in keep], F.col("s.trees").alias("trees"), self._probability(F.col("s.sum")).alias(SCORE))
 
     def importance(self, spark: SparkSession) -> DataFrame:
-        """``(feature, importance)``: each tree's gain times weighted rows, shared out over the features, averaged over the trees by weight."""
+        """``(feature, importance)`` of every feature."""
         return importance(self.to_frame(spark), self.features)
 
 
@@ -177,15 +177,10 @@ def _typed(row) -> tuple:
 
 
 def importance(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``(feature, importance)`` of every feature from a node table; all zero if no tree splits."""
-    spark = nodes.sparkSession
-    gains = nodes.where("feature IS NOT NULL").groupBy("tree", "feature").agg(
-        F.sum(F.col("gain") * F.col("weight")).alias("gain"), F.max("tree_weight").alias("tree_weight")
-    )
-    # A row per tree.
-    totals = gains.groupBy("tree").agg(F.sum("gain").alias("all"))
-    shares = gains.join(totals, "tree").groupBy("feature").agg(F.sum(F.try_divide("gain", "all") * F.col("tree_weight")).alias("share"))
-    named = spark.createDataFrame([(f,) for f in features], "feature string")
-    summed = shares.agg(F.sum("share").alias("whole"))
-    joined = named.join(shares, "feature", "left").join(F.broadcast(summed))
-    return joined.select("feature", F.coalesce(F.try_divide("share", "whole"), F.lit(0.0)).alias("importance"))
+    """``(feature, importance)`` of every feature from a node table: its share of the gain times rows over all trees; zero if none splits."""
+    gains = nodes.where("feature IS NOT NULL").groupBy("feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("gain"))
+    named = nodes.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    # A row per feature.
+    joined = named.join(F.broadcast(gains), "feature", "left")
+    whole = F.sum("gain").over(Window.partitionBy(F.lit(1)))
+    return joined.select("feature", F.coalesce(F.try_divide(F.col("gain"), whole), F.lit(0.0)).alias("importance"))

@@ -39,8 +39,8 @@ WEIGHT = "_weight"
 FOLD = "_fold"
 DRAW = "_draw"
 SCORE = "score"
-SMALL_PARTITION_BYTES = 32 << 20
-SMALL_PARTITIONS = 8
+SMALL_TABLE_BYTES = 256 << 20
+PARTITION_BYTES = 4 << 20
 
 
 # Class weights.
@@ -89,10 +89,11 @@ def training_rows(
     kept = [slim.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         negatives, positives = class_counts(kept[0], label)
-        if (negatives + positives) * len(features) * 8 < SMALL_PARTITIONS * SMALL_PARTITION_BYTES:
-            # Small enough for the planner to have packed it into a task or two. Subsampled trees draw per
-            # partition, so their number does not follow the number of cores.
-            kept.append(kept[0].repartition(SMALL_PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK))
+        held = (negatives + positives) * len(features) * 8
+        if held < SMALL_TABLE_BYTES:
+            # Small enough for the planner to have packed it into a task or two; a boosted fit runs thousands of jobs, so no more
+            # tasks than the rows are worth. Subsampled trees draw per partition: their number follows the rows, not the cores.
+            kept.append(kept[0].repartition(math.ceil((held + 1) / PARTITION_BYTES)).persist(StorageLevel.MEMORY_AND_DISK))
         yield kept[-1].withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
     finally:
         for rows in reversed(kept):
