@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.queries.base import table
+from ledgerline.session import stored
 
 # Raw loans: text as it would arrive, with junk, blanks and impossible values.
 RAW_LOANS = """
@@ -138,6 +139,11 @@ def frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **{name: table(spark, sf_dir, name) for name in _tables(text)})
 
 
+def frame_once(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """``frame`` for fits, which read their rows many times: the join is made once, later passes scan its few columns."""
+    return stored(frame(spark, sf_dir, text), "frame")
+
+
 def sql(text: str) -> str:
     """The text as a subquery over the pre-registered tables."""
     return "(" + text.format(**{name: name for name in _tables(text)}) + ")"

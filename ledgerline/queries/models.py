@@ -10,8 +10,8 @@ from ledgerline.operators import models as md
 from ledgerline.operators import neighbors, runs, selection, split
 from ledgerline.operators.ensembles import TreeTable, node_rows
 from ledgerline.queries.base import query, table
-from ledgerline.queries.frames import LEARNABLE, frame, sql
-from ledgerline.session import shared_path
+from ledgerline.queries.frames import LEARNABLE, frame, frame_once, sql
+from ledgerline.session import shared_path, stored
 
 _NUMBERS = ["quantity", "price", "discount", "tax", "line", "total"]
 _KEPT = ["row_id", "label", "day"]
@@ -19,7 +19,7 @@ _KEPT = ["row_id", "label", "day"]
 
 def _parts(spark, sf):
     """Scaled features of the training and validation rows, fitted on the former."""
-    rows = frame(spark, sf, LEARNABLE)
+    rows = frame_once(spark, sf, LEARNABLE)
     cutoff = split.rank_cutoff(rows, "day", 0.8)
     train = rows.filter(F.col("day") <= F.lit(cutoff))
     model = fe.fit_features(train, fe.FeatureSpec(exclude=_KEPT))
@@ -58,7 +58,7 @@ _SHARES = f"""
 
 def _two_values(spark, sf):
     x = F.when(F.col("quantity") > 25, 1.0).otherwise(0.0)
-    return frame(spark, sf, LEARNABLE).select(x.alias("x"), "label")
+    return stored(frame(spark, sf, LEARNABLE).select(x.alias("x"), "label"), "frame")
 
 
 def _by_value(model, rows, digits=None):
@@ -281,7 +281,7 @@ def _(spark, sf):
 @query("stratified_fold_sizes", "L2 L6")
 def _(spark, sf):
     """Rows of each class in three folds; about a third each, as rows that share a key share a fold."""
-    drawn = frame(spark, sf, LEARNABLE).select("row_id", "label", md.fold_draw("row_id"))
+    drawn = stored(frame(spark, sf, LEARNABLE).select("row_id", "label", md.fold_draw("row_id")), "frame")
     return md.with_fold(drawn, "label", 3).groupBy(F.col(md.FOLD).alias("fold"), "label").agg(F.count("*").alias("n"))
 
 

@@ -11,7 +11,7 @@ from ledgerline.operators import score as sc
 from ledgerline.operators.evaluate import confusion_at
 from ledgerline.plans.layers import feature_frame, fit_loan_features, prepared
 from ledgerline.queries.base import query
-from ledgerline.queries.frames import APPLICANTS, LEARNABLE, LOANS, SCORED, frame, sql
+from ledgerline.queries.frames import APPLICANTS, LEARNABLE, LOANS, SCORED, frame, frame_once, sql
 from ledgerline.session import shared_path
 
 _APPLICANTS = sql(APPLICANTS)
@@ -202,7 +202,7 @@ def _(spark, sf):
 
 @query("explained_model_scores", "R5 L1 R7")
 def _(spark, sf):
-    rows = frame(spark, sf, LEARNABLE)
+    rows = frame_once(spark, sf, LEARNABLE)
     names = ["quantity", "price", "discount", "tax", "line", "total"]
     features = fe.fit_features(rows, fe.FeatureSpec(exclude=["row_id", "label", "day"]))
     made = features.transform(rows, ["row_id", "label"])
