@@ -9,6 +9,7 @@ from ledgerline.operators import features, insights, models, ranking, timeseries
 from ledgerline.plans.layers import gold_macro, silver_macro
 from ledgerline.queries.base import query, table
 from ledgerline.queries.frames import LOANS, MACRO_LONG, frame, sql
+from ledgerline.session import stored
 
 _LOANS, _LONG = sql(LOANS), sql(MACRO_LONG)
 _IDS = [*cfg.NATIONAL_SERIES, *cfg.STATE_SERIES.values()]
@@ -233,7 +234,7 @@ def _each(text: str) -> str:
     doubles=" ".join(_ADDED),
 )
 def _(spark, sf):
-    rows = _joined(spark, sf).select("loan_id", "issue_d", *_ADDED)
+    rows = stored(_joined(spark, sf).select("loan_id", "issue_d", *_ADDED), "frame")
     made = features.fit_features(rows.filter(_EARLY), features.plain_spec([], exclude=["loan_id"]))
     return made.transform(rows, ["loan_id"])
 
@@ -242,7 +243,7 @@ def _(spark, sf):
 def _(spark, sf):
     """What the series add to the loan's own numbers, by the validation AUC of the same model."""
     own = ["loan_amnt", "term", "int_rate", "annual_inc", "dti", "open_acc", "fico_range_low"]
-    rows = _joined(spark, sf).select("issue_d", "charged_off", *own, *_ADDED)
+    rows = stored(_joined(spark, sf).select("issue_d", "charged_off", *own, *_ADDED), "frame")
     made = features.fit_features(rows.filter(_EARLY), features.plain_spec([], exclude=["charged_off"]))
     parts = [made.transform(rows.filter(part), ["charged_off"]) for part in (_EARLY, f"NOT {_EARLY}")]
     return models.ablation(*parts, own, _ADDED, "charged_off")
