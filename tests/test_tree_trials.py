@@ -9,6 +9,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from ledgerline.operators import models as md
+from ledgerline.operators import selection
 from ledgerline.operators import tree_trials as tt
 from ledgerline.operators.ensembles import TreeTable
 from ledgerline.queries import REGISTRY
@@ -77,11 +78,29 @@ def test_queries_fit_no_trial_by_itself(spark, sf_dir, monkeypatch, name, search
 
     started, make = [], tt.Trials.__init__
 
-    def watched(self, cells, features, cuts, trials, scheme):
+    def watched(self, cells, features, cuts, trials, weights):
         started.append(len(trials))
-        make(self, cells, features, cuts, trials, scheme)
+        make(self, cells, features, cuts, trials, weights)
 
     monkeypatch.setattr(DecisionTreeClassifier, "fit", no_fit)
     monkeypatch.setattr(tt.Trials, "__init__", watched)
     assert REGISTRY[name].run(spark, sf_dir).count() == {"tree_search": 50, "logged_runs": 2}[name]
     assert started == [50] * searches
+
+
+@pytest.mark.parametrize("make, space", [(md.CELL_TREE, md.TREE_SPACE), (md.CELL_BOOSTED, None)])
+def test_halving_over_cells(data, monkeypatch, make, space):
+    """The rungs and shares of the search over rows; the model has the AUC noted for its trial."""
+    train, val = data
+    space = space or {"trees": md.whole(6, 12), "max_depth": md.whole(2, 3), "learning_rate": md.log_uniform(0.1, 0.3)}
+    monkeypatch.setattr(selection, "LEVEL_BYTES", 0)
+    found = selection.halving_search("T", make, space, train, val, FEATURES, "y", "a", trials=9, least_rows=900)
+    assert [sorted(t["rung"] for t in found.trials).count(r) for r in (0, 1, 2)] == [6, 2, 1]
+    assert {t["rows"] for t in found.trials if t["rung"] == 0} == {0.3} and {t["rows"] for t in found.trials if t["rung"] == 2} == {1.0}
+    best = found.trials[found.params["trial"]]
+    assert isinstance(found.model, TreeTable) and found.metrics["auc_roc"] == pytest.approx(best["auc"], abs=1e-9) and best["auc"] > 0.8
+    assert not make.boosted or found.model.trees == found.params["trees"] <= 12
+
+
+def test_selection_searches_cells():
+    assert all(isinstance(make, md.CellTrees) for make, *_ in selection.SEARCHES.values())
