@@ -43,6 +43,8 @@ DRAW = "_draw"
 SCORE = "score"
 SMALL_TABLE_BYTES = 256 << 20
 PARTITION_BYTES = 4 << 20
+MOST_TASKS = 24  # of a pass of a fit over few bytes; iterative fits make thousands of passes, and every task of each reports to the driver
+TASK_BYTES = 512 << 20  # of vectors of a task, beyond which there are more tasks
 
 
 # Class weights.
@@ -79,6 +81,11 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
 
+def fit_tasks(held: int) -> int:
+    """Tasks of a pass over ``held`` bytes of vectors: one for each ``PARTITION_BYTES`` up to ``MOST_TASKS``, then one for each ``TASK_BYTES``."""
+    return max(min(math.ceil((held + 1) / PARTITION_BYTES), MOST_TASKS), math.ceil(held / TASK_BYTES))
+
+
 @contextmanager
 def training_rows(
     df: DataFrame, features: Sequence[str], label: str, scheme: str = "none", keep: Sequence[Column] = ()
@@ -92,10 +99,14 @@ def training_rows(
     try:
         negatives, positives = class_counts(kept[0], label)
         held = (negatives + positives) * len(features) * 8
+        tasks = fit_tasks(held)
         if held < SMALL_TABLE_BYTES:
             # Small enough for the planner to have packed it into a task or two; a boosted fit runs thousands of jobs, so no more
             # tasks than the rows are worth. Subsampled trees draw per partition: their number follows the rows, not the cores.
-            kept.append(kept[0].repartition(math.ceil((held + 1) / PARTITION_BYTES)).persist(StorageLevel.MEMORY_AND_DISK))
+            kept.append(kept[0].repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK))
+        elif kept[0].rdd.getNumPartitions() > tasks:
+            # The kept blocks stay as they are; a task of a pass reads several.
+            kept.append(kept[0].coalesce(tasks))
         yield kept[-1].withColumn(WEIGHT, weight_column(label, class_weights(negatives, positives, scheme)))
     finally:
         for rows in reversed(kept):
