@@ -144,3 +144,43 @@ def test_neighbors_of_many_equal_rows(spark):
     nothing = rows.limit(0)
     assert neighbors.nearest_neighbors(rows, nothing, "id", "v", "y", 3).count() == 0
     assert neighbors.nearest_neighbors(nothing, rows, "id", "v", "y", 3).count() == 0
+
+
+def _brute(x, asked, k):
+    for i in asked:
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        yield i, list(np.lexsort((np.arange(len(x)), d))[:k])
+
+
+def test_neighbors_keep_no_row_per_block(spark, monkeypatch):
+    """Vectors without structure: every block is visited, yet no more rows are kept than the answer has."""
+    x = np.random.default_rng(3).normal(size=(400, 16))
+    x[200:260] = x[0]
+    rows = spark.createDataFrame([(i, [float(v) for v in r], i % 2) for i, r in enumerate(x)], "id bigint, v array<double>, y int")
+    kept, counters = [], {}
+    store = neighbors.stored
+
+    def counted(frame, name):
+        frame = store(frame, name)
+        kept.append(frame.count())
+        return frame
+
+    monkeypatch.setattr(neighbors, "stored", counted)
+    got = neighbors.nearest_neighbors(rows, rows, "id", "v", "y", 3, True, 16, counters).collect()
+    actual = {(r["id"], r["rank"]): r["neighbor"] for r in got}
+    assert all([actual[i, place + 1] for place in range(3)] == near for i, near in _brute(x, range(400), 3))
+    assert counters["blocks"] > 20 and counters["visits"] > 10 * 400 and max(kept) <= 400 * 3
+
+
+def test_neighbors_of_any_magnitude(spark):
+    """The product in single precision only proposes: rows far from zero, tiny and huge ones and rows that are no vector."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([1e6 + 1e-3 * rng.normal(size=(60, 4)), 1e-25 * rng.normal(size=(60, 4)), 1e25 * rng.normal(size=(60, 4)), rng.normal(size=(60, 4))])
+    data = [(i, [float(v) for v in r], i % 2) for i, r in enumerate(x)]
+    data += [(900, [float("nan")] * 4, 1), (901, [1.0, None, 1.0, 1.0], 1), (902, [float("inf"), 0.0, 0.0, 0.0], 1), (903, None, 1)]
+    rows = spark.createDataFrame(data, "id bigint, v array<double>, y int")
+    got = neighbors.nearest_neighbors(rows, rows, "id", "v", "y", 3, True, 16).collect()
+    actual = {(r["id"], r["rank"]): r["neighbor"] for r in got}
+    assert len(actual) == 240 * 3
+    assert all([actual[i, place + 1] for place in range(3)] == near for i, near in _brute(x, range(240), 3))
