@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
+from ledgerline.operators import histograms as hg
 from ledgerline.operators import models as md
 from ledgerline.operators import selection
 from ledgerline.operators import tree_trials as tt
@@ -104,3 +105,29 @@ def test_halving_over_cells(data, monkeypatch, make, space):
 
 def test_selection_searches_cells():
     assert all(isinstance(make, md.CellTrees) for make, *_ in selection.SEARCHES.values())
+
+
+def test_trials_side_by_side_equal_trials_in_jobs(spark, data, monkeypatch):
+    """A task for each trial and jobs over many tasks find the same trees and AUCs; in the former, jobs do not follow trials and rounds."""
+    train, val = data
+    space = {"trees": md.whole(6, 12), "max_depth": md.whole(2, 4), "learning_rate": md.log_uniform(0.1, 0.3), "min_leaf": md.whole(5, 20)}
+    found, jobs = [], []
+    for most in (hg.MOST_CELLS, 600):
+        monkeypatch.setattr(hg, "MOST_CELLS", most)
+        monkeypatch.setattr(hg, "TASK_CELLS", min(most, hg.TASK_CELLS))
+        group = f"most {most}"
+        watched = selection._boosted_rung
+
+        def counted(*rung, watched=watched, group=group):
+            spark.sparkContext.setJobGroup(group, group)
+            return watched(*rung)
+
+        monkeypatch.setattr(selection, "_boosted_rung", counted)
+        found.append(selection.halving_search("T", md.CELL_BOOSTED, space, train, val, FEATURES, "y", "a", trials=9, least_rows=900))
+        monkeypatch.setattr(selection, "_boosted_rung", watched)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    one, other = found
+    assert [t["auc"] for t in one.trials] == pytest.approx([t["auc"] for t in other.trials], abs=1e-6)
+    assert one.params == other.params and one.model.nodes[["feature", "left", "right"]].equals(other.model.nodes[["feature", "left", "right"]])
+    assert jobs[0] < 60 < jobs[1]
