@@ -100,3 +100,16 @@ def test_vectors_are_fitted_by_the_library(rows):
 def test_missing_values_are_refused(rows):
     with pytest.raises(Exception, match="NULL or NaN"):
         md.cross_validate_logistic(rows.withColumn("a", F.when(F.col("id") > 0, F.col("a"))), FEATURES, "y", "id", cs=(1.0,))
+
+
+@pytest.mark.parametrize("limits", [{}, {"RANGE_ROWS": 50, "TASK_SCORES": 300}, {"RANGE_ROWS": 3, "SAMPLE": 40}])
+def test_aucs_equal_the_ranking(rows, monkeypatch, limits):
+    """Whatever the ranges; the second margin has few distinct scores, the third one alone."""
+    for name, value in limits.items():
+        monkeypatch.setattr(lf, name, value)
+    few = rows.withColumn("b", F.round("b"))
+    with md._fold_blocks(few, FEATURES, "y", "id", 3) as (folded, blocks, moments, _):
+        margins = [(0, np.array([1.0, 2.0, 0.5, 0.001]), -1.0), (1, np.array([0.0, 1.0, 0.0, 0.0]), -5.0), (2, np.zeros(4), 0.3), (0, np.array([-1.0, 0.0, 0.0, 0.0]), 0.0)]
+        for (held, w, b), found in zip(margins, lf.aucs(blocks, moments, margins)):
+            scored = folded.where(F.col(md.FOLD) == held).select("y", (1 / (1 + F.exp(-md.linear_margin(FEATURES, w, b)))).alias("score"))
+            assert found == pytest.approx(md.ranking_metrics(scored, "score", "y").first()["auc_roc"], abs=1e-9)
